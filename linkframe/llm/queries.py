@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination
+from linkframe.llm import arc_to_warc, decontamination, sharding, topk_search
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -33,6 +33,29 @@ FROM (SELECT page_id, CAST(octet_length(CAST(encode(coalesce(html, '')) AS BLOB)
 """
 
 
+def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5, scale=256.0)
+
+
+OP4_SQL = """
+WITH v AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS e
+           FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+def op5_bounded_load_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(table(spark, sf_dir, "documents"), shards=8, carry=["doc_id"])
+    return out.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -61,9 +84,11 @@ FROM docs LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
+        "op4_topk_search": op4_topk_search,
+        "op5_bounded_load_sharding": op5_bounded_load_sharding,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_arc_to_warc": OP1_SQL, "op10_benchmark_decontamination": OP10_SQL}
+    return {"op1_arc_to_warc": OP1_SQL, "op4_topk_search": OP4_SQL, "op10_benchmark_decontamination": OP10_SQL}
