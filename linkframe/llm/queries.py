@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, sharding, topk_search
+from linkframe.llm import arc_to_warc, decontamination, html_content, sharding, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -33,6 +33,15 @@ FROM (SELECT page_id, CAST(octet_length(CAST(encode(coalesce(html, '')) AS BLOB)
 """
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model, scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, scorer, carry=["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op4_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(table(spark, sf_dir, "embeddings"), lambda i: F.pmod(i, F.lit(50)) == 0, k=5, scale=256.0)
 
@@ -56,6 +65,10 @@ def op5_bounded_load_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_content.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -84,8 +97,10 @@ FROM docs LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
+        "op3_toxicity": op3_toxicity,
         "op4_topk_search": op4_topk_search,
         "op5_bounded_load_sharding": op5_bounded_load_sharding,
+        "op8_html_content": op8_html_content,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
 
