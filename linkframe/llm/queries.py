@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, html_content, sharding, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, html_content, quality, sharding, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -65,6 +65,15 @@ def op5_bounded_load_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    vectors, net = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, vectors, net, carry=["doc_id"]).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), F.col("quality_score").alias("score"),
+        (F.col("quality_score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
 
@@ -100,6 +109,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_toxicity": op3_toxicity,
         "op4_topk_search": op4_topk_search,
         "op5_bounded_load_sharding": op5_bounded_load_sharding,
+        "op6_quality": op6_quality,
         "op8_html_content": op8_html_content,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }

@@ -51,7 +51,7 @@ assert OTHER < SIGMA
 # What a character may stand for in leetspeak.
 LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "bg", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "<": "c", "{": "c", "*": "", "#": "",
+    "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "<": "c", "{": "c", "*": "aeiou", "#": "",
 }
 SEPARATORS = frozenset(" ._-*~·•'`´^/\\,:;=+|")
 #: Prices of the channel, as negative natural logarithms.
@@ -78,13 +78,26 @@ def symbols(text: str) -> np.ndarray:
     return np.where(cp < len(_TABLE), _TABLE[np.minimum(cp, len(_TABLE) - 1)], OTHER).astype(np.int32)
 
 
-def triple_counts(texts, out: np.ndarray | None = None) -> np.ndarray:
+def triple_counts(texts, out: np.ndarray | None = None, block: int = 1 << 20) -> np.ndarray:
+    """Counts of symbol triples of texts with borders around each, joined to blocks of about a million characters."""
     out = np.zeros(SIGMA**3, np.int64) if out is None else out
+
+    def add(held):
+        joined = "  ".join(["", *held, ""])
+        for i in range(2, len(joined), block):  # a block begins with the two symbols its first triple reaches back to
+            s = symbols(joined[i - 2 : i + block])
+            np.add(out, np.bincount(s[:-2] * SIGMA**2 + s[1:-1] * SIGMA + s[2:], minlength=SIGMA**3), out=out)
+
+    held, size = [], 0
     for t in texts:
         if t:
-            for i in range(0, len(t), 1 << 20):  # blocks overlap by the two symbols a triple reaches back
-                s = symbols(" " + t[max(0, i - 1) : i + (1 << 20)] + " ")
-                out += np.bincount(s[:-2] * SIGMA**2 + s[1:-1] * SIGMA + s[2:], minlength=SIGMA**3)
+            held.append(t)
+            size += len(t)
+            if size >= block:
+                add(held)
+                held, size = [], 0
+    if held:
+        add(held)
     return out
 
 
@@ -93,6 +106,7 @@ class CharModel:
 
     def __init__(self, counts: np.ndarray):
         n3 = counts.reshape(SIGMA, SIGMA, SIGMA).astype(float)
+        n3[:, 0, :] = n3[:, 0, :].sum(axis=0)  # what begins a word doesn't depend on the word before
         n3[:, 0, 0] = 0  # runs of borders say nothing
         n2, n1 = n3.sum(axis=0), n3.sum(axis=(0, 1))
         p1 = (n1 + 0.5) / (n1.sum() + 0.5 * SIGMA)
@@ -127,9 +141,10 @@ def lattice(token: str) -> list[list[tuple[int, str, float]]]:
             edges[i].append((i + 1, out, COST_LEET))
         if run - i >= 2 and (letter or c in LEET):  # the whole rest of a run as one or two letters
             for out in c if letter else LEET[c]:
-                edges[i].append((run, out, COST_DROP_REPEAT + (0 if letter else COST_LEET)))
+                read = 0.0 if letter else COST_LEET * (run - i)
+                edges[i].append((run, out, COST_DROP_REPEAT + read))
                 if run - i >= 3:
-                    edges[i].append((run, out + out, COST_DROP_REPEAT * 1.5 + (0 if letter else COST_LEET)))
+                    edges[i].append((run, out + out, COST_DROP_REPEAT * 1.5 + read))
         if not letter:
             edges[i].append((i + 1, "", COST_DROP_SEPARATOR if c in SEPARATORS or c in LEET and not LEET[c] else COST_KEEP_ODD))
     return edges
@@ -234,41 +249,51 @@ class Restorer:
 PREFIXES = (4, 5, 6)
 
 
-def features(words) -> set[str]:
-    """Distinct words of at least three letters, and their beginnings."""
-    words = set(words)
-    out = {w + "$" for w in words if len(w) > 2}
-    for n in PREFIXES:
-        out.update({w[:n] for w in words if len(w) > n})
+def keys_of(word: str) -> list[str]:
+    """A word (of at least three letters) and its beginnings."""
+    return [word + "$", *(word[:n] for n in PREFIXES if len(word) > n)] if len(word) > 2 else []
+
+
+def features(words) -> Counter:
+    """How often each feature comes in a document's words."""
+    out: Counter = Counter()
+    for w, n in Counter(words).items():
+        for k in keys_of(w):
+            out[k] += n
     return out
 
 
 class Scorer:
-    """Lexicon of weighted features and the logistic regression on top."""
+    """Lexicon of features with their log odds by document and by word, and the logistic regression on top."""
 
-    def __init__(self, weights: dict[str, float], base: float = 0.0, coef: tuple = (0.0, 0.0, 0.0)):
-        self.weights, self.base, self.coef = weights, base, coef
+    def __init__(self, weights: dict[str, tuple[float, float]], rate: float = 0.0, base: float = 0.0, coef: tuple = (0.0,) * 4):
+        self.weights, self.rate, self.base, self.coef = weights, rate, base, coef
 
-    def evidence(self, words) -> tuple[float, float, float]:
-        """Of a document's words: largest weight, damped sum, damped share of words that are known."""
+    def evidence(self, words) -> tuple[float, float, float, float]:
+        """Of a document's words: largest weight, damped sum, damped share of hits, and the log likelihood
+        ratio of as many hits in so many words, clipped."""
         words = Counter(words)
-        most, total, hits, known = 0.0, 0.0, 0, self.weights
+        most, total, hits, ratio, known = 0.0, 0.0, 0, 0.0, self.weights
         for w, n in words.items():
-            keys = [w + "$", *(w[:k] for k in PREFIXES if len(w) > k)]
-            best = max((known[k] for k in keys if k in known), default=0.0)
-            if best:
-                most, total, hits = max(most, best), total + best, hits + n
-        return most, math.log1p(total), math.sqrt(hits / max(20, sum(words.values())))
+            found = [known[k] for k in keys_of(w) if k in known]
+            if found:
+                best = max(found)
+                most, total, hits = max(most, best[0]), total + best[0], hits + n
+                ratio += min(n, 5) * best[1]
+        n = sum(words.values())
+        ratio = max(-8.0, min(8.0, ratio - n * self.rate)) / 4
+        return most, math.log1p(total), math.sqrt(hits / max(20, n)), ratio
 
     def probability(self, words) -> float:
         z = self.base + sum(c * x for c, x in zip(self.coef, self.evidence(words), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
-def lexicon(counts, n_toxic: int, n_clean: int, least: int = 3, significance: float = 15.0) -> dict[str, float]:
-    """Features whose document counts (feature, toxic, clean) speak for toxicity: log odds by feature."""
-    out = {}
-    for f, a, b in counts:
+def lexicon(counts, n_toxic: int, n_clean: int, w_toxic: int, w_clean: int, least: int = 3, significance: float = 30.0) -> tuple[dict, float]:
+    """Features that speak for toxicity, from counts (feature, toxic and clean documents, toxic and clean hits):
+    their log odds by document and by word, and how many more hits a word of a toxic document gives."""
+    out, rate = {}, 0.0
+    for f, a, b, c, d in counts:
         if a < least:
             continue
         pa_, pb = (a + 0.5) / (n_toxic + 1), (b + 0.5) / (n_clean + 1)
@@ -278,8 +303,10 @@ def lexicon(counts, n_toxic: int, n_clean: int, least: int = 3, significance: fl
         g = 2 * (_xlog(a, both * n_toxic / n) + _xlog(b, both * n_clean / n))
         g += 2 * (_xlog(n_toxic - a, (n - both) * n_toxic / n) + _xlog(n_clean - b, (n - both) * n_clean / n))
         if g >= significance:
-            out[f] = math.log(pa_ / pb)
-    return out
+            ra, rb = (c + 0.5) / (w_toxic + 1), (d + 0.5) / (w_clean + 1)
+            out[f] = (math.log(pa_ / pb), math.log(ra / rb))
+            rate += max(0.0, ra - rb) * (f[-1] == "$")
+    return out, rate
 
 
 def _xlog(x: float, expected: float) -> float:
@@ -342,7 +369,7 @@ def train(
     sample = labelled_sample(labels, id_col, label_col, max_labelled).collect()  # at most max_labelled small rows
     n1 = sum(r["__lf_y"] for r in sample)
     if not 0 < n1 < len(sample):
-        return model, Scorer({}, 30.0 if n1 else -30.0)
+        return model, Scorer({}, base=30.0 if n1 else -30.0)
     label = spark.sparkContext.broadcast({r["__lf_id"]: r["__lf_y"] for r in sample})
     shared = spark.sparkContext.broadcast(model.cost)
     sample_ids = spark.createDataFrame([(r["__lf_id"],) for r in sample], T.StructType([T.StructField("__lf_id", docs.schema[id_col].dataType)]))
@@ -350,38 +377,41 @@ def train(
 
     def count(batches):
         restore, seen = Restorer(_shared_model(shared)), {}
-        n = [0, 0]
+        total = [0, 0, 0, 0]  # clean and toxic documents, clean and toxic words
         for batch in batches:
             for i, text in zip(batch.column(0), batch.column(1), strict=True):
-                y = label.value[i.as_py()]
-                n[y] += 1
-                for f in features(restore.text(text.as_py() or "")):
-                    seen.setdefault(f, [0, 0])[y] += 1
-        keys = ["", *seen]
-        cols = list(zip(n, *seen.values(), strict=True)) if seen else [[n[0]], [n[1]]]
+                y, words = label.value[i.as_py()], restore.text(text.as_py() or "")
+                total[y] += 1
+                total[y + 2] += len(words)
+                for f, n in features(words).items():
+                    sums = seen.setdefault(f, [0, 0, 0, 0])
+                    sums[y] += 1
+                    sums[y + 2] += n
+        keys, cols = ["", *seen], list(zip(total, *seen.values(), strict=True))
         for k in range(0, len(keys), 100_000):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[k : k + 100_000], pa.string()), *(pa.array(c[k : k + 100_000], pa.int64()) for c in cols)], names=["f", "clean", "toxic"]
-            )
+            parts = [pa.array(keys[k : k + 100_000], pa.string()), *(pa.array(c[k : k + 100_000], pa.int64()) for c in cols)]
+            yield pa.RecordBatch.from_arrays(parts, names=["f", *names])
 
-    sums = mine.mapInArrow(count, "f string, clean long, toxic long").groupBy("f").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
+    names = ["clean", "toxic", "clean_hits", "toxic_hits"]
+    sums = mine.mapInArrow(count, "f string, " + ", ".join(f"{x} long" for x in names)).groupBy("f").agg(*(F.sum(x).alias(x) for x in names))
     # Only features that speak for toxicity reach the driver, the most frequent max_lexicon of them.
     kept = sums.where((F.col("f") == "") | (F.col("toxic") >= 3) & (F.col("toxic") * len(sample) > 2 * n1 * F.col("clean")))
     rows = kept.orderBy(F.desc(F.col("f") == ""), F.desc("toxic"), "clean", "f").limit(max_lexicon + 1).collect()
-    n_clean, n_toxic = next(((r["clean"], r["toxic"]) for r in rows if r["f"] == ""), (0, 0))
-    if not n_clean or not n_toxic:
-        return model, Scorer({}, 30.0 if n_toxic else -30.0)
-    scorer = Scorer(lexicon(((r["f"], r["toxic"], r["clean"]) for r in rows if r["f"]), n_toxic, n_clean))
-    weights = spark.sparkContext.broadcast(scorer.weights)
+    n = next((r for r in rows if r["f"] == ""), None)
+    if not n or not n["clean"] or not n["toxic"]:
+        return model, Scorer({}, base=30.0 if n and n["toxic"] else -30.0)
+    found = ((r["f"], r["toxic"], r["clean"], r["toxic_hits"], r["clean_hits"]) for r in rows if r["f"])
+    scorer = Scorer(*lexicon(found, n["toxic"], n["clean"], n["toxic_hits"], n["clean_hits"]))
+    draft = spark.sparkContext.broadcast(scorer)
 
     def weigh(batches):
-        restore, s = Restorer(_shared_model(shared)), Scorer(weights.value)
+        restore, s = Restorer(_shared_model(shared)), draft.value
         for batch in batches:
             out = [(label.value[i.as_py()], *s.evidence(restore.text(t.as_py() or ""))) for i, t in zip(batch.column(0), batch.column(1), strict=True)]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in zip(*out, strict=True)], names=["y", "a", "b", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in zip(*out, strict=True)], names=["y", "a", "b", "c", "d"])
 
-    seen = np.array([tuple(r) for r in mine.mapInArrow(weigh, "y double, a double, b double, c double").collect()])  # at most a row a sampled document
+    seen = np.array([tuple(r) for r in mine.mapInArrow(weigh, "y double, a double, b double, c double, d double").collect()])  # at most a row a sampled document
     scorer.base, scorer.coef = fit_logistic(seen[:, 1:], seen[:, 0])
     return model, scorer
 
