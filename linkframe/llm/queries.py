@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, html_content, quality, sharding, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, html_content, quality, sharding, signature_join, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -74,6 +74,25 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.classes(table(spark, sf_dir, "documents"), k=5, percent=75)
+
+
+OP7_SQL = f"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, list_slice(w, i, i + least(5, len(w)) - 1) AS s
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM docs WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM docs UNION SELECT r.a, e.b FROM reach r JOIN both_ways e ON e.a = r.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM docs d LEFT JOIN n USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, n.n
+"""
+
+
 def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
 
@@ -110,10 +129,16 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_topk_search": op4_topk_search,
         "op5_bounded_load_sharding": op5_bounded_load_sharding,
         "op6_quality": op6_quality,
+        "op7_signature_join": op7_signature_join,
         "op8_html_content": op8_html_content,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_arc_to_warc": OP1_SQL, "op4_topk_search": OP4_SQL, "op10_benchmark_decontamination": OP10_SQL}
+    return {
+        "op1_arc_to_warc": OP1_SQL,
+        "op4_topk_search": OP4_SQL,
+        "op7_signature_join": OP7_SQL,
+        "op10_benchmark_decontamination": OP10_SQL,
+    }
