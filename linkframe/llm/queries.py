@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, html_content, quality, sharding, signature_join, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, html_content, license_scan, quality, sharding, signature_join, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -97,6 +97,26 @@ def op8_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_content.extract(table(spark, sf_dir, "pages"), carry=["page_id", "url"])
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+_W9 = "regexp_extract_all(" + LOWER.format("text") + ", '[a-z0-9]+')"
+_T9 = ", ".join(f"('{k}', '{v}')" for k, v in license_scan.TEMPLATES.items())
+OP9_SQL = f"""
+WITH t AS (SELECT license, {_W9} AS w FROM (VALUES {_T9}) AS v(license, text)),
+ts AS (SELECT DISTINCT license, len(w) AS m, array_to_string(list_slice(w, i, i + 2), ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM t)),
+known AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
+ds AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 2), ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM (SELECT doc_id, {_W9} AS w FROM documents WHERE text IS NOT NULL))),
+hit AS (SELECT doc_id, license, m, i, s FROM ds JOIN ts USING (s)),
+run AS (SELECT a.doc_id, a.license, a.i, count(DISTINCT b.s) AS c
+        FROM hit a JOIN hit b ON a.doc_id = b.doc_id AND a.license = b.license AND b.i BETWEEN a.i AND a.i + a.m - 3 GROUP BY 1, 2, 3)
+SELECT doc_id, license, max(c / n) AS containment FROM run JOIN known USING (license) WHERE c / n >= 0.8 GROUP BY 1, 2
+"""
+
+
 def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -131,6 +151,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_quality": op6_quality,
         "op7_signature_join": op7_signature_join,
         "op8_html_content": op8_html_content,
+        "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
     }
 
@@ -140,5 +161,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_arc_to_warc": OP1_SQL,
         "op4_topk_search": OP4_SQL,
         "op7_signature_join": OP7_SQL,
+        "op9_license_scan": OP9_SQL,
         "op10_benchmark_decontamination": OP10_SQL,
     }
