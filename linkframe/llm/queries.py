@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, html_content, license_scan, quality, sharding, signature_join, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, html_content, license_scan, mixing, quality, sharding, signature_join, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -33,6 +33,46 @@ FROM (SELECT page_id, CAST(octet_length(CAST(encode(coalesce(html, '')) AS BLOB)
 """
 
 
+MIX_WEIGHTS = {0: {"d0": 4, "d1": 2}, 1: {"en": 4, "de": 2, "fr": 2}}
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, budget_share=0.6, max_epochs=2, seed=1, report=True)
+    return out.withColumn("leaf_budget", F.round("leaf_budget", 3))
+
+
+def _fill(name: str, source: str, parent: list[str], child: str, weight: str) -> str:
+    """Water filling of source (parent columns, child, cap, budget) as CTEs name_r and name."""
+    by, cols = f"PARTITION BY {', '.join(parent)}" if parent else "", ", ".join([*parent, child])
+    return f"""
+{name}_w AS (SELECT *, {weight} AS w, cap / {weight} AS ratio FROM {source} WHERE cap > 0),
+{name}_r AS (SELECT *, coalesce(sum(cap) OVER ({by} ORDER BY ratio, {child} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                    + ratio * sum(w) OVER ({by} ORDER BY ratio, {child} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) <= budget AS is_full FROM {name}_w),
+{name} AS (SELECT {cols}, cap, CASE WHEN is_full THEN cap ELSE w * (budget - coalesce(sum(CASE WHEN is_full THEN cap END) OVER ({by}), 0))
+                    / sum(CASE WHEN NOT is_full THEN w END) OVER ({by}) END AS alloc FROM {name}_r)"""
+
+
+OP2_SQL = f"""
+WITH t AS (SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+       CASE WHEN regexp_extract(coalesce(source, ''), '([0-9]+)$', 1) = '' THEN 'other'
+            ELSE 'd' || CAST(CAST(right(regexp_extract(source, '([0-9]+)$', 1), 2) AS INTEGER) % 4 AS VARCHAR) END AS domain,
+       CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS n_tokens FROM documents),
+leaf AS (SELECT domain, lang, source, sum(n_tokens) AS tokens, CAST(sum(n_tokens) AS DOUBLE) * 2 AS cap FROM t GROUP BY ALL),
+l1 AS (SELECT domain, sum(cap) AS cap, (SELECT 0.6 * sum(n_tokens) FROM t) AS budget FROM leaf GROUP BY domain),
+{_fill("f1", "l1", [], "domain", "CASE domain WHEN 'd0' THEN 4.0 WHEN 'd1' THEN 2.0 ELSE 1.0 END")},
+l2 AS (SELECT domain, lang, sum(leaf.cap) AS cap, any_value(alloc) AS budget FROM leaf JOIN f1 USING (domain) GROUP BY domain, lang),
+{_fill("f2", "l2", ["domain"], "lang", "CASE lang WHEN 'en' THEN 4.0 WHEN 'de' THEN 2.0 WHEN 'fr' THEN 2.0 ELSE 1.0 END")},
+l3 AS (SELECT domain, lang, source, leaf.cap, alloc AS budget FROM leaf JOIN f2 USING (domain, lang)),
+{_fill("f3", "l3", ["domain", "lang"], "source", "1.0")},
+p AS (SELECT f3.*, tokens, CAST(least(floor(alloc / tokens), 2) AS INTEGER) AS epochs, alloc - least(floor(alloc / tokens), 2) * tokens AS rest
+      FROM f3 JOIN leaf USING (domain, lang, source)),
+k AS (SELECT t.*, p.alloc, p.epochs, p.rest, sum(n_tokens) OVER (PARTITION BY t.domain, t.lang, t.source
+             ORDER BY md5('1-' || epochs || '-' || doc_id)) AS upto FROM t JOIN p USING (domain, lang, source)),
+n AS (SELECT *, epochs + CASE WHEN upto <= rest AND rest > 0 THEN 1 ELSE 0 END AS times FROM k)
+SELECT doc_id, domain, lang, source, n_tokens, round(alloc, 3) AS leaf_budget, CAST(unnest(range(0, times)) AS INTEGER) AS epoch FROM n
+"""
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model, scorer = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -145,6 +185,7 @@ FROM docs LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
+        "op2_mixing": op2_mixing,
         "op3_toxicity": op3_toxicity,
         "op4_topk_search": op4_topk_search,
         "op5_bounded_load_sharding": op5_bounded_load_sharding,
@@ -159,6 +200,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_arc_to_warc": OP1_SQL,
+        "op2_mixing": OP2_SQL,
         "op4_topk_search": OP4_SQL,
         "op7_signature_join": OP7_SQL,
         "op9_license_scan": OP9_SQL,
