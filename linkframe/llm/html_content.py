@@ -70,16 +70,19 @@ class _Lines(HTMLParser):
         self.skipping = 0
         self.region = 0  # 0: plain body
         self.kinds = [""]
-        self.parts: list[str] = []
+        self.parts: list[tuple[str, bool]] = []
         self.tags = 0
         self.heading = False
 
     def flush(self):
+        """Ends a line.  Skipped parts are cut out of it; a line of nothing else is kept without a region."""
         if self.parts:
-            text = _SPACE.sub(" ", "".join(self.parts)).strip()
-            if text:
-                self.lines.append([text, self.tags, None if self.skipping else self.region, self.heading])
-                self.tags = 0
+            for mine, region in ((False, self.region), (True, None)):
+                text = _SPACE.sub(" ", "".join(t for t, skipped in self.parts if skipped == mine)).strip()
+                if text:
+                    self.lines.append([text, self.tags, region, self.heading])
+                    self.tags = 0
+                    break
             self.parts = []
 
     def _skips(self, tag, attrs):
@@ -103,7 +106,7 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             if tag in ("br", "hr", "wbr"):
-                self.parts.append(" ")
+                self.parts.append((" ", self.skipping > 0))
             return
         skip = self._skips(tag, attrs)
         self.stack.append((tag, self.region, skip))
@@ -140,7 +143,7 @@ class _Lines(HTMLParser):
                 return
 
     def handle_data(self, data):
-        self.parts.append(data)
+        self.parts.append((data, self.skipping > 0))
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -195,6 +198,9 @@ def main_text(html: str | None, sigma: float = 1.0) -> str:
     if not content:
         content = set(open_to)
     first, last = min(content), max(content)
+    own = [i for i in content if len(lines[i][0]) / max(1, lines[i][1]) >= bar]
+    if own:  # smoothing carries content one line too far at its ends
+        first, last = min(own), max(own)
     lead = [i for i in open_to if i < first]
     while lead and lines[lead[-1]][3]:
         first = lead.pop()
