@@ -17,7 +17,7 @@ join with one row a leaf and are not shuffled.
 
 Defined cases
 -------------
-* null domain, language or source: the child named "".
+* null domain, language or source: the child named ""; ``source_domain`` puts null into "other".
 * null text: no tokens; documents without tokens are taken with the prefix they stand in.
 * null ids hash like an empty id; repeated rows are rows of their own, at the same place of
   the order: such ties are taken or left together at the end of a prefix.
@@ -42,7 +42,7 @@ _CELL = 3  # hexadecimal digits: 4096 cells
 
 def source_domain(source: Column) -> Column:
     """The domain of a numbered source: its number modulo 4; "other" without a number."""
-    number = F.regexp_extract(source, "([0-9]+)$", 1)
+    number = F.regexp_extract(F.coalesce(source, F.lit("")), "([0-9]+)$", 1)
     return F.when(number == "", F.lit("other")).otherwise(F.concat(F.lit("d"), (F.substring(number, -2, 2).cast("int") % 4).cast("string")))
 
 
