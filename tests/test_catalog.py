@@ -1,0 +1,40 @@
+"""Every catalog query against its SQL on the smallest tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__
+from linkframe import catalog
+
+D = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(D), reason="test tables are not here")
+SAMPLE = ["f2_registered_domain", "a1_fold_registered", "a13_subgraph_metrics", "a12_shared_successors_exact2", "g5_pagerank", "g7_wcc", "g8_scc", "g4_harmonic", "j5_outer_join_ranks"]
+
+
+@pytest.fixture(scope="module")
+def duck():
+    duckdb = pytest.importorskip("duckdb")
+    c = duckdb.connect()
+    for f in os.listdir(D):
+        c.sql(f"CREATE VIEW {f.split('.')[0]} AS SELECT * FROM '{D}/{f}'")
+    return c
+
+
+def plain(v):
+    return round(v, 9) if isinstance(v, float) else v
+
+
+@pytest.mark.parametrize("name", SAMPLE)
+def test_query(spark, duck, name):
+    df = catalog.queries()[name](spark, D)
+    r = duck.execute(catalog.oracle_sql()[name])
+    cols = [x[0] for x in r.description]
+    expected = sorted((tuple(plain(row[cols.index(c)]) for c in sorted(cols)) for row in r.fetchall()), key=repr)
+    assert sorted(df.columns) == sorted(cols)
+    assert sorted((tuple(plain(row[c]) for c in sorted(cols)) for row in df.collect()), key=repr) == expected
+
+
+def test_entry(spark):
+    assert __spark_entry__.entry(spark).count() > 0
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
