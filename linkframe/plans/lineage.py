@@ -30,6 +30,19 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, limit: int = 8 << 20):
+    """Arrow batches of at most about ``limit`` bytes for what runs inside: an executor holds
+    several buffers of that size for each of its tasks, beside its heap."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(limit))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Scratch:
     """A folder of intermediate tables of one query.
 
@@ -54,7 +67,8 @@ class Scratch:
     def cut(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write df and read it back: computed once, lineage ends here."""
         path = self.path(name)
-        df.write.option("compression", "zstd").parquet(path)
+        with small_batches(self.spark):
+            df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
