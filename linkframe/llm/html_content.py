@@ -50,11 +50,12 @@ SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search fo
 #: Words of class and id values that mark what is no article.
 SKIPPED_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adslot|adbox|banner|promo(?:tion)?|sponsor(?:ed)?|nav(?:bar|igation)?|menu|"
-    r"breadcrumbs?|side-?bar|footer|header|masthead|comments?|commentlist|respond|replies|disqus|cookies?|consent|gdpr|notices?|popup|modal|"
+    r"breadcrumbs?|side-?bar|footer|comments?|commentlist|respond|replies|disqus|cookies?|consent|gdpr|notices?|popup|modal|"
     r"overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|widget|pagination|pager|toolbar|skip-?link)s?(?:$|[\s_-])",
     re.I,
 )
-#: Elements whose own header belongs to the article.
+#: The same outside an article; inside one they hold its headline.
+SKIPPED_OUTSIDE = re.compile(r"(?:^|[\s_-])(?:header|masthead)s?(?:$|[\s_-])", re.I)
 _ARTICLE, _MAIN = "article", "main"
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPACE = re.compile(r"\s+")
@@ -87,13 +88,14 @@ class _Lines(HTMLParser):
 
     def _skips(self, tag, attrs):
         if tag in SKIPPED:
-            # an article's own header holds its headline
             return not (tag == "header" and self.kinds[self.region] == _ARTICLE)
         if tag in ("html", "body", _ARTICLE, _MAIN):
             return False
         for k, v in attrs:
             if v and (k in ("class", "id") and SKIPPED_NAMES.search(v) or k == "role" and v.lower() in SKIPPED_ROLES):
                 return True
+            if v and k in ("class", "id") and self.kinds[self.region] != _ARTICLE and SKIPPED_OUTSIDE.search(v):
+                return True
             if k == "hidden" or k == "aria-hidden" and v == "true":
                 return True
         return False

@@ -118,6 +118,7 @@ P = "A sentence of some length that belongs to the article, with several clauses
         ("<!-- only --><script>var a='<p>x</p>'</script>", ""),
         (f"<nav><a href=/>Home</a></nav><article><h1>T &amp; U</h1><p><b>{P}<br><p>short</p><p>a\n  b&nbsp;c</article><footer>&copy; x</footer>", f"T & U\n\n{P.strip()}\n\nshort\n\na b c"),
         (f"<header>Site</header><main><p>{P}</p></main><aside>{P}</aside>", P.strip()),
+        (f"<div class=site-header>Name</div><article><div class=entry-header><h1>Head</h1></div><p>{P}</p></article>", f"Head\n\n{P.strip()}"),
         (f"<article><header><h1>Head</h1></header><p>{P}</p><div class='ad-box ads'>{P}</div><form><p>{P}</p></form><section class=comments><p>{P}</p></section></article>", f"Head\n\n{P.strip()}"),
         (f"<body><ul class=menu><li><a>x</a><li><a>y</a></ul><h1>Head</h1><p>{P}</p><p>{P}</p><div id=cookie-notice>{P}</div><div>a<i>b</i><u>c</u></div></body>", f"Head\n\n{P.strip()}\n\n{P.strip()}"),
         (f"<article><p>{P}</p></article><article><p>{P}</p><p role=alert>no</p></article>", f"{P.strip()}\n\n{P.strip()}"),
