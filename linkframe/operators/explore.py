@@ -69,3 +69,8 @@ class Explorer:
         if self.vertex is None:
             raise LookupError("no vertex is set; use cn(id or label)")
         return self.vertex
+
+
+def shortcuts(explorer: Explorer) -> dict:
+    """Names for an interactive shell: ``globals().update(shortcuts(Explorer(graph)))``."""
+    return {"g": explorer.graph, "e": explorer, **{n: getattr(explorer, n) for n in ("cn", "pwn", "ls", "sl")}}
