@@ -7,7 +7,8 @@
    a run of single letters) becomes a lattice whose edges read one or more characters and
    write a letter or nothing, each at a price.  Viterbi over states (last two symbols)
    returns the restored word that the model and the channel together find likeliest.  A token
-   with a single path through its lattice is its own restoration and isn't decoded.
+   with a single path through its lattice is its own restoration and isn't decoded.  In a token
+   too long for a word a mark may also end a word, so a phrase joined by marks gives its words.
 3. Score: features of the restored text are its words and their beginnings.  Those that come
    significantly oftener in toxic than in clean labelled documents (log-likelihood ratio) are
    the lexicon; a small logistic regression on what a document holds of it gives the score.
@@ -126,15 +127,16 @@ class CharModel:
 # --- lattice and Viterbi --------------------------------------------------------------------
 
 
-def lattice(token: str) -> list[list[tuple[int, str, float]]]:
-    """Edges (end, output, price) from each position of a lower-case token."""
+def lattice(token: str, split: bool = False) -> list[list[tuple[int, str, float]]]:
+    """Edges (end, output, price) from each position of a lower-case token; with ``split`` a blank for marks that may end a word."""
     n = len(token)
     edges: list[list] = [[] for _ in range(n)]
+    run = 0
     for i, c in enumerate(token):
         letter = c.isalpha()
-        run = i
-        while run < n and token[run] == c:
-            run += 1
+        if run <= i:
+            while run < n and token[run] == c:
+                run += 1
         if letter:
             edges[i].append((i + 1, c, 0.0))
         for out in LEET.get(c, ""):
@@ -147,28 +149,43 @@ def lattice(token: str) -> list[list[tuple[int, str, float]]]:
                     edges[i].append((run, out + out, COST_DROP_REPEAT * 1.5 + read))
         if not letter:
             edges[i].append((i + 1, "", COST_DROP_SEPARATOR if c in SEPARATORS or c in LEET and not LEET[c] else COST_KEEP_ODD))
+            if split and not c.isalnum():
+                edges[i].append((i + 1, " ", COST_SPLIT))
     return edges
 
 
-def decode(token: str, model: CharModel) -> tuple[str, float]:
-    """The likeliest word behind a token, and its cost."""
-    edges, table = lattice(token), model.table
-    best: list[dict] = [{} for _ in range(len(token) + 1)]
-    best[0][(0, 0)] = (0.0, "")
+def decode(token: str, model: CharModel, split: bool = False) -> tuple[str, float]:
+    """The likeliest word behind a token, or words with blanks between, and its cost; time and memory grow with its length."""
+    edges, table = lattice(token, split), model.table
+    best: list = [{} for _ in range(len(token) + 1)]
+    best[0][(0, 0)] = (0.0, None)  # the output is a chain of its pieces, the last one first
     for i, out_edges in enumerate(edges):
         for (a, b), (cost, word) in best[i].items():
             for end, out, price in out_edges:
-                x, y, total = a, b, cost + price
-                for c in out:
-                    k = CODE.get(c, OTHER)
-                    total += table[x][y][k]
-                    x, y = y, k
+                if out == " ":
+                    x, y = 0, 0
+                    total = cost + (price + table[a][b][0] if b else COST_DROP_SEPARATOR)
+                else:
+                    x, y, total = a, b, cost + price
+                    for c in out:
+                        k = CODE.get(c, OTHER)
+                        total += table[x][y][k]
+                        x, y = y, k
                 old = best[end].get((x, y))
                 if old is None or total < old[0]:
-                    best[end][(x, y)] = (total, word + out)
-    ends = [(cost + table[a][b][0], word) for (a, b), (cost, word) in best[-1].items()]
-    cost, word = min(ends)
-    return word, cost
+                    best[end][(x, y)] = (total, (word, out) if out and (out != " " or b) else word)
+        best[i] = None
+    ends = [(cost + (0.0 if split and not b else table[a][b][0]), word) for (a, b), (cost, word) in best[-1].items()]
+    cost = min(x[0] for x in ends)
+    return min(_chained(word) for total, word in ends if total == cost).strip(), cost
+
+
+def _chained(word: tuple | None) -> str:
+    out = []
+    while word:
+        word, piece = word
+        out.append(piece)
+    return "".join(reversed(out))
 
 
 _EDGE = "\"'()[]{}<>.,;:!?…«»„“”‘’%&#*$|-_ "
@@ -185,7 +202,7 @@ class Restorer:
         self.model, self.memory, self.seen = model, memory, {}
 
     def token(self, raw: str) -> str:
-        """Restored word of a white-space token, "" if it holds none."""
+        """Restored word of a white-space token, "" if it holds none; words with blanks between if it's too long for one."""
         word = self.seen.get(raw)
         if word is None:
             if len(self.seen) >= self.memory:
@@ -201,16 +218,18 @@ class Restorer:
         letters = len(_LETTER.findall(low))
         if not letters and not any(c in LEET for c in core):
             return ""
-        if len(low) > _TOKEN_LIMIT and letters < len(low):
-            return " ".join(_PLAIN.findall(core))  # addresses and keys: no word is that long; its parts are
+        if len(low) > _TOKEN_LIMIT and letters < len(core):  # no word is that long; its parts are, as written or restored
+            parts = _PLAIN.findall(core)
+            known = set(parts)
+            return " ".join([*parts, *(w for w in decode(low, self.model, split=True)[0].split() if w not in known)])
         left = low.lstrip("\"'[]>.,;:?…«»„“”‘’%&# ").rstrip("\"')]}>.,;:?…«»„“”‘’%&# ")
-        found = {decode(x, self.model) for x in {core, left, left.rstrip("!*$|-_")} if x and len(x) <= 4 * _TOKEN_LIMIT}
+        found = {decode(x, self.model) for x in {core, left, left.rstrip("!*$|-_")} if x}
         return min(found, key=lambda x: (x[1], x[0]))[0] if found else core
 
     def text(self, text: str) -> list[str]:
         """Restored words of a text; runs of at least three single letters are joined if that is likelier."""
         raw = text.split()
-        words = list(map(self.token, raw))
+        words = [w for r in raw for w in self.token(r).split(" ")]
         single = [i for i, r in enumerate(raw) if len(r) == 1 or len(r) <= 3 and len(r.strip(_EDGE)) == 1]
         i = 0
         while i < len(single):
@@ -225,8 +244,6 @@ class Restorer:
     def _joined(self, letters: list[str]) -> list[str]:
         """Words of a run of letters, by the cheapest cut: each word pays its decoding and a split."""
         n, longest = len(letters), 14
-        if n > 400:
-            return [w for k in range(0, n, 390) for w in self._joined(letters[k : k + 400])]
         best: list = [(0.0, 0, "")] + [None] * n
         for end in range(1, n + 1):
             for start in range(max(0, end - longest), end):
