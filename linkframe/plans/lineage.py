@@ -2,8 +2,8 @@
 
 Intermediate tables are written as Parquet under ``spark.checkpoint.dir`` and read
 again, so a lost executor costs a retry of the tasks it held and nothing more.  The
-setting is read from the session; only where it is unset (tests, a laptop) a local
-default is taken.
+setting is read from the session; only where it is unset and the master is local (tests,
+a laptop) a local default is taken.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder, without a trailing slash."""
     path = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not path:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the whole cluster shares")
         path = f"file://{tempfile.gettempdir()}/linkframe-checkpoints"
     return path.rstrip("/")
 
@@ -30,17 +34,33 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-@contextlib.contextmanager
-def small_batches(spark: SparkSession, limit: int = 8 << 20):
-    """Arrow batches of at most about ``limit`` bytes for what runs inside: an executor holds
-    several buffers of that size for each of its tasks, beside its heap."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(limit))
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+_BATCH_BYTES, _BATCH_ROWS = 4 << 20, 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most about 4 MB from now on in this session: an executor holds several buffers of
+    a batch's size for each of its tasks, beside its heap.  Smaller limits of the session stay."""
+    for key, limit in (("spark.sql.execution.arrow.maxBytesPerBatch", _BATCH_BYTES), ("spark.sql.execution.arrow.maxRecordsPerBatch", _BATCH_ROWS)):
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+        if not 0 < now <= limit:
+            spark.conf.set(key, str(limit))
+
+
+def _end(spark: SparkSession, root: str) -> None:
+    with contextlib.suppress(Exception):
+        _delete(spark, root)
+
+
+_OPEN: weakref.WeakKeyDictionary = weakref.WeakKeyDictionary()
+
+
+def _at_exit(spark: SparkSession, root: str) -> None:
+    """One exit hook a session deletes all its folders."""
+    if spark not in _OPEN:
+        _OPEN[spark] = roots = []
+        ref = weakref.ref(spark)
+        atexit.register(lambda: [_end(s, r) for s in [ref()] if s for r in roots])
+    _OPEN[spark].append(root)
 
 
 class Scratch:
@@ -54,11 +74,8 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_dir(spark)}/linkframe/{name}-{uuid.uuid4().hex}"
         self._n = 0
-        atexit.register(self._end)
-
-    def _end(self) -> None:
-        with contextlib.suppress(Exception):
-            _delete(self.spark, self.root)
+        small_batches(spark)
+        _at_exit(spark, self.root)
 
     def path(self, name: str) -> str:
         self._n += 1
@@ -67,8 +84,7 @@ class Scratch:
     def cut(self, df: DataFrame, name: str = "t") -> DataFrame:
         """Write df and read it back: computed once, lineage ends here."""
         path = self.path(name)
-        with small_batches(self.spark):
-            df.write.option("compression", "zstd").parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._scratch_path = path
         return out
