@@ -8,7 +8,8 @@
    write a letter or nothing, each at a price.  Viterbi over states (last two symbols)
    returns the restored word that the model and the channel together find likeliest.  A token
    with a single path through its lattice is its own restoration and isn't decoded.  In a token
-   too long for a word a mark may also end a word, so a phrase joined by marks gives its words.
+   too long for a word a mark may also end a word, so a phrase joined by marks gives its words;
+   in a run of single letters a word may end after any letter.
 3. Score: features of the restored text are its words and their beginnings.  Those that come
    significantly oftener in toxic than in clean labelled documents (log-likelihood ratio) are
    the lexicon; a small logistic regression on what a document holds of it gives the score.
@@ -24,14 +25,19 @@ Defined cases
   repeated labels of one id count once (the largest).
 * no usable labels, or one class only: every score is 0.0 (no toxic label) or 1.0.
 * extra columns pass through ``score`` untouched unless they are named like its results.
-* very long texts are read whole, a block of words at a time.
+* empty tables: an empty result; without documents or labels the scorer is that of no usable labels.
+* ties between restorations go to the one that sorts first; repeated rows get equal scores.
+* very long texts are read whole, ``BLOCK`` characters at a time; time and memory of a token grow
+  with its length, whatever that is.
 """
 
 from __future__ import annotations
 
+import ctypes
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +45,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from linkframe.plans.lineage import Scratch
+
 # --- alphabet ----------------------------------------------------------------------------
 
 #: 0 is the word border, 1-26 a-z, then letters with marks, the last one every other letter.
@@ -154,12 +162,18 @@ def lattice(token: str, split: bool = False) -> list[list[tuple[int, str, float]
     return edges
 
 
-def decode(token: str, model: CharModel, split: bool = False) -> tuple[str, float]:
-    """The likeliest word behind a token, or words with blanks between, and its cost; time and memory grow with its length."""
+def decode(token: str, model: CharModel, split: bool = False, anywhere: bool = False) -> tuple[str, float]:
+    """The likeliest word behind a token, or words with blanks between, and its cost; time and memory grow with
+    its length.  Words end at marks with ``split``, after any character with ``anywhere``."""
     edges, table = lattice(token, split), model.table
+    split = split or anywhere
     best: list = [{} for _ in range(len(token) + 1)]
     best[0][(0, 0)] = (0.0, None)  # the output is a chain of its pieces, the last one first
     for i, out_edges in enumerate(edges):
+        if anywhere and i and (ended := [(cost + table[a][b][0] + COST_SPLIT, word) for (a, b), (cost, word) in best[i].items() if b]):
+            cost = min(x[0] for x in ended)
+            if cost < best[i].get((0, 0), (math.inf,))[0]:
+                best[i][(0, 0)] = (cost, (next(w for c, w in ended if c == cost), " "))
         for (a, b), (cost, word) in best[i].items():
             for end, out, price in out_edges:
                 if out == " ":
@@ -195,25 +209,59 @@ _LETTER = re.compile(r"[^\W\d_]")
 _TOKEN_LIMIT = 40
 
 
+#: Three or more tokens in a row of at most three characters: what may be a word in single letters.
+_SHORT_RUN = re.compile(r"\s\S{1,3}(?!\S)(?:\s+\S{1,3}(?!\S)){2,}")
+_ODD_START = frozenset("$!|(<{+")
+_KNOWN = 200_000
+_SPACE = re.compile(r"\s")
+BLOCK = 1 << 20
+
+
+def blocks_of(text: str, size: int = BLOCK) -> Iterator[str]:
+    """Pieces of about ``size`` characters; each ends at white space, so no token is cut."""
+    start = 0
+    while start < len(text):
+        end = len(text)
+        if start + size < end and (m := _SPACE.search(text, start + size)):
+            end = m.end()
+        yield text[start:end]
+        start = end
+
+
 class Restorer:
-    """Tokens to restored words, with a bounded memory of what it has decoded."""
+    """Tokens to restored words.  What it has decoded is kept while that is at most ``memory`` characters, and
+    up to ``_KNOWN`` words that are written plainly; both only save time."""
 
-    def __init__(self, model: CharModel, memory: int = 400_000):
-        self.model, self.memory, self.seen = model, memory, {}
+    def __init__(self, model: CharModel, memory: int = 4 << 20):
+        self.model, self.memory, self.held, self.seen, self.plain = model, memory, 0, {}, set()
 
     def token(self, raw: str) -> str:
         """Restored word of a white-space token, "" if it holds none; words with blanks between if it's too long for one."""
         word = self.seen.get(raw)
         if word is None:
-            if len(self.seen) >= self.memory:
+            word = self._restore(raw)
+            self.held += len(raw) + len(word) + 40
+            if self.held > self.memory:
                 self.seen.clear()
-            word = self.seen[raw] = self._restore(raw)
+                self.held = len(raw) + len(word) + 40
+            self.seen[raw] = word
         return word
 
+    def _is_plain(self, core: str) -> bool:
+        """Letters only, nothing stretched or doubled again and again."""
+        if core in self.plain:
+            return True
+        if not core.isalpha() or _REPEAT.search(core):
+            return False
+        if len(self.plain) >= _KNOWN:
+            self.plain.clear()
+        self.plain.add(core)
+        return True
+
     def _restore(self, raw: str) -> str:
         low = raw.lower()
         core = low.strip(_EDGE)
-        if _PLAIN.fullmatch(core) and not _REPEAT.search(core) and low[:1] not in "$!|(<{+":
+        if self._is_plain(core) and low[:1] not in _ODD_START:
             return core
         letters = len(_LETTER.findall(low))
         if not letters and not any(c in LEET for c in core):
@@ -227,38 +275,57 @@ class Restorer:
         return min(found, key=lambda x: (x[1], x[0]))[0] if found else core
 
     def text(self, text: str) -> list[str]:
-        """Restored words of a text; runs of at least three single letters are joined if that is likelier."""
-        raw = text.split()
-        words = [w for r in raw for w in self.token(r).split(" ")]
-        single = [i for i, r in enumerate(raw) if len(r) == 1 or len(r) <= 3 and len(r.strip(_EDGE)) == 1]
-        i = 0
-        while i < len(single):
-            j = i
-            while j + 1 < len(single) and single[j + 1] == single[j] + 1:
-                j += 1
-            if j - i >= 2:
-                words += self._joined([r.lower().strip(_EDGE) or r.lower() for r in raw[single[i] : single[j] + 1]])
-            i = j + 1
-        return words
-
-    def _joined(self, letters: list[str]) -> list[str]:
-        """Words of a run of letters, by the cheapest cut: each word pays its decoding and a split."""
-        n, longest = len(letters), 14
-        best: list = [(0.0, 0, "")] + [None] * n
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                if best[start] is None:
+        """Restored words in order, then those of the runs of single letters."""
+        return [*(w for part in blocks_of(text) for r in part.split() for w in self.token(r).split(" ")), *self._spaced(text)]
+
+    def counts(self, text: str) -> Counter:
+        """How often each restored word comes in a text."""
+        raw: Counter = Counter()
+        for part in blocks_of(text):
+            raw.update(part.lower().split())
+        out: dict = {}
+        plain, get = self.plain, out.get
+        for r, n in raw.items():
+            core = r.strip(_EDGE)
+            if (core in plain or self._is_plain(core)) and r[0] not in _ODD_START:
+                out[core] = get(core, 0) + n
+                continue
+            for w in self.token(r).split(" "):
+                out[w] = get(w, 0) + n
+        out = Counter(out)
+        out.update(self._spaced(text))
+        return out
+
+    def _spaced(self, text: str) -> Iterator[str]:
+        """Words of the runs of at least three single letters."""
+        for m in _SHORT_RUN.finditer(" " + text):
+            letters: list[str] = []
+            for raw in [*m[0].split(), ""]:
+                if len(raw) == 1 or raw and len(raw.strip(_EDGE)) == 1:
+                    letters.append(raw.lower().strip(_EDGE) or raw.lower())
                     continue
-                word, cost = decode("".join(letters[start:end]), self.model)
-                total = best[start][0] + cost + COST_SPLIT
-                if best[end] is None or total < best[end][0]:
-                    best[end] = (total, start, word)
-        out = []
-        while n:
-            _, n, word = best[n]
-            out.append(word)
-        whole = decode("".join(letters), self.model)[0] if len(letters) <= longest else ""
-        return [w for w in {*out, whole} if len(w) > 2]
+                if len(letters) > 2:
+                    yield from self._joined("".join(letters))
+                letters = []
+
+    def _joined(self, letters: str) -> list[str]:
+        """Words of a run of letters: those of its likeliest cut, and the run as one word."""
+        found = dict.fromkeys([*decode(letters, self.model, anywhere=True)[0].split(), decode(letters, self.model)[0]])
+        return [w for w in found if len(w) > 2]
+
+
+_TRIM: list = []
+
+
+def let_go() -> None:
+    """Returns a finished task's memory to the system; Python workers live on and are reused."""
+    if not _TRIM:
+        try:
+            _TRIM.append(ctypes.CDLL(None).malloc_trim)
+        except (OSError, AttributeError):  # no glibc
+            _TRIM.append(lambda _: 0)
+    pa.default_memory_pool().release_unused()
+    _TRIM[0](0)
 
 
 # --- features and model --------------------------------------------------------------------
@@ -271,10 +338,10 @@ def keys_of(word: str) -> list[str]:
     return [word + "$", *(word[:n] for n in PREFIXES if len(word) > n)] if len(word) > 2 else []
 
 
-def features(words) -> Counter:
+def features(words: Counter) -> Counter:
     """How often each feature comes in a document's words."""
     out: Counter = Counter()
-    for w, n in Counter(words).items():
+    for w, n in words.items():
         for k in keys_of(w):
             out[k] += n
     return out
@@ -285,23 +352,21 @@ class Scorer:
 
     def __init__(self, weights: dict[str, tuple[float, float]], rate: float = 0.0, base: float = 0.0, coef: tuple = (0.0,) * 4):
         self.weights, self.rate, self.base, self.coef = weights, rate, base, coef
+        self.starts = frozenset(k[:3] for k in weights)
 
-    def evidence(self, words) -> tuple[float, float, float, float]:
+    def evidence(self, words: Counter) -> tuple[float, float, float, float]:
         """Of a document's words: largest weight, damped sum, damped share of hits, and the log likelihood
-        ratio of as many hits in so many words, clipped."""
-        words = Counter(words)
-        most, total, hits, ratio, known = 0.0, 0.0, 0, 0.0, self.weights
-        for w, n in words.items():
-            found = [known[k] for k in keys_of(w) if k in known]
-            if found:
-                best = max(found)
+        ratio of as many hits (repeats damped) in so many words, squashed."""
+        most, total, hits, ratio, known, starts = 0.0, 0.0, 0, 0.0, self.weights, self.starts
+        for w in words:
+            if w[:3] in starts and (found := [known[k] for k in keys_of(w) if k in known]):
+                n, best = words[w], max(found)
                 most, total, hits = max(most, best[0]), total + best[0], hits + n
-                ratio += min(n, 5) * best[1]
-        n = sum(words.values())
-        ratio = max(-8.0, min(8.0, ratio - n * self.rate)) / 4
-        return most, math.log1p(total), math.sqrt(hits / max(20, n)), ratio
+                ratio += (1 + math.log(n)) * best[1]
+        n = words.total()
+        return most, math.log1p(total), math.sqrt(hits / max(20, n)), 2 * math.tanh((ratio - n * self.rate) / 8)
 
-    def probability(self, words) -> float:
+    def probability(self, words: Counter) -> float:
         z = self.base + sum(c * x for c, x in zip(self.coef, self.evidence(words), strict=True))
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
@@ -357,11 +422,11 @@ def char_model(docs: DataFrame, text_col: str = "text") -> CharModel:
             triple_counts((t.as_py() for t in batch.column(0)), out)
         at = np.flatnonzero(out)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(out[at], pa.int64())], names=["k", "n"])
+        let_go()
 
-    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SIGMA**3, np.int64)
-    for r in rows:
-        counts[r["k"]] = r["n"]
+    counts[rows.column("k").to_numpy()] = rows.column("n").to_numpy()
     return CharModel(counts)
 
 
@@ -379,99 +444,131 @@ def train(
     id_col: str = "doc_id",
     text_col: str = "text",
     max_labelled: int = 20_000,
-    max_lexicon: int = 50_000,
 ) -> tuple[CharModel, Scorer]:
+    """The language model of all documents, and the scorer fitted on labelled ones, which are decoded once."""
     spark: SparkSession = docs.sparkSession
+    scratch = Scratch(spark, "toxicity")
     model = char_model(docs, text_col)
     sample = labelled_sample(labels, id_col, label_col, max_labelled).collect()  # at most max_labelled small rows
     n1 = sum(r["__lf_y"] for r in sample)
     if not 0 < n1 < len(sample):
         return model, Scorer({}, base=30.0 if n1 else -30.0)
-    label = spark.sparkContext.broadcast({r["__lf_id"]: r["__lf_y"] for r in sample})
     shared = spark.sparkContext.broadcast(model.cost)
-    sample_ids = spark.createDataFrame([(r["__lf_id"],) for r in sample], T.StructType([T.StructField("__lf_id", docs.schema[id_col].dataType)]))
+    ids = T.StructType([T.StructField("__lf_id", docs.schema[id_col].dataType), T.StructField("y", T.IntegerType())])
+    sample_ids = spark.createDataFrame([(r["__lf_id"], r["__lf_y"]) for r in sample], ids)
     mine = docs.select(F.col(id_col).alias("__lf_id"), F.col(text_col).cast("string").alias("__lf_text")).join(F.broadcast(sample_ids), "__lf_id")
 
+    def decoded(batches):
+        restore = Restorer(_model_of(shared.value))
+        for batch in batches:
+            counts = [restore.counts(t.as_py() or "") for t in batch.column(1)]
+            cols = [batch.column(0), pa.array(["\n".join(c) for c in counts]), pa.array([list(c.values()) for c in counts], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(cols, names=["y", "words", "n"])
+        del restore
+        let_go()
+
+    def words_in(batch):
+        """(label, word counts) of a batch of decoded documents; a word holds no line break."""
+        for y, words, n in zip(*batch.columns, strict=True):
+            yield y.as_py(), Counter(dict(zip(words.as_py().split("\n"), n.as_py(), strict=True)) if len(n) else {})
+
+    rows = scratch.cut(mine.select("y", "__lf_text").mapInArrow(decoded, "y int, words string, n array<long>"), "decoded")
+    shared.destroy()
+    names = ["clean", "toxic", "clean_hits", "toxic_hits"]
+
     def count(batches):
-        restore, seen = Restorer(_shared_model(shared)), {}
-        total = [0, 0, 0, 0]  # clean and toxic documents, clean and toxic words
+        """Sums of each feature and, as feature "", of documents and words."""
+
+        def flush(sums):
+            if sums:
+                cols = [pa.array(c, pa.int64()) for c in zip(*sums.values(), strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(sums, pa.string()), *cols], names=["f", *names])
+
+        seen: dict = {}
         for batch in batches:
-            for i, text in zip(batch.column(0), batch.column(1), strict=True):
-                y, words = label.value[i.as_py()], restore.text(text.as_py() or "")
-                total[y] += 1
-                total[y + 2] += len(words)
-                for f, n in features(words).items():
+            for y, words in words_in(batch):
+                for f, n in [("", words.total()), *features(words).items()]:
                     sums = seen.setdefault(f, [0, 0, 0, 0])
                     sums[y] += 1
                     sums[y + 2] += n
-        keys, cols = ["", *seen], list(zip(total, *seen.values(), strict=True))
-        for k in range(0, len(keys), 100_000):
-            parts = [pa.array(keys[k : k + 100_000], pa.string()), *(pa.array(c[k : k + 100_000], pa.int64()) for c in cols)]
-            yield pa.RecordBatch.from_arrays(parts, names=["f", *names])
-
-    names = ["clean", "toxic", "clean_hits", "toxic_hits"]
-    sums = mine.mapInArrow(count, "f string, " + ", ".join(f"{x} long" for x in names)).groupBy("f").agg(*(F.sum(x).alias(x) for x in names))
-    # Only features that speak for toxicity reach the driver, the most frequent max_lexicon of them.
-    kept = sums.where((F.col("f") == "") | (F.col("toxic") >= 3) & (F.col("toxic") * len(sample) > 2 * n1 * F.col("clean")))
-    rows = kept.orderBy(F.desc(F.col("f") == ""), F.desc("toxic"), "clean", "f").limit(max_lexicon + 1).collect()
-    n = next((r for r in rows if r["f"] == ""), None)
-    if not n or not n["clean"] or not n["toxic"]:
+                if len(seen) > 100_000:
+                    yield from flush(seen)
+                    seen = {}
+        yield from flush(seen)
+        del seen
+        let_go()
+
+    sums = rows.mapInArrow(count, "f string, " + ", ".join(f"{x} long" for x in names)).groupBy("f").agg(*(F.sum(x).alias(x) for x in names))
+    sums = scratch.cut(sums, "features")
+    n = sums.where("f = ''").head()
+    if n is None or not n["clean"] or not n["toxic"]:
         return model, Scorer({}, base=30.0 if n and n["toxic"] else -30.0)
-    found = ((r["f"], r["toxic"], r["clean"], r["toxic_hits"], r["clean_hits"]) for r in rows if r["f"])
+    # Only features that speak for toxicity by a likelihood ratio reach the driver; the labelled sample bounds them.
+    found = (tuple(r) for r in speaking(sums.where("f <> ''"), n["toxic"], n["clean"]).select("f", "toxic", "clean", "toxic_hits", "clean_hits").sort("f").collect())
     scorer = Scorer(*lexicon(found, n["toxic"], n["clean"], n["toxic_hits"], n["clean_hits"]))
     draft = spark.sparkContext.broadcast(scorer)
 
     def weigh(batches):
-        restore, s = Restorer(_shared_model(shared)), draft.value
         for batch in batches:
-            out = [(label.value[i.as_py()], *s.evidence(restore.text(t.as_py() or ""))) for i, t in zip(batch.column(0), batch.column(1), strict=True)]
-            if out:
+            if out := [(y, *draft.value.evidence(words)) for y, words in words_in(batch)]:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in zip(*out, strict=True)], names=["y", "a", "b", "c", "d"])
 
-    seen = np.array([tuple(r) for r in mine.mapInArrow(weigh, "y double, a double, b double, c double, d double").collect()])  # at most a row a sampled document
+    seen = rows.mapInArrow(weigh, "y double, a double, b double, c double, d double").toArrow()  # at most a row a sampled document
+    seen = np.array(sorted(zip(*(c.to_pylist() for c in seen.columns), strict=True)))
+    draft.destroy()
+    scratch.drop(rows, sums)
     scorer.base, scorer.coef = fit_logistic(seen[:, 1:], seen[:, 0])
     return model, scorer
 
 
-_MODELS: dict = {}
+def speaking(sums: DataFrame, n_toxic: int, n_clean: int, least: int = 3, significance: float = 30.0) -> DataFrame:
+    """The rows that ``lexicon`` takes, chosen before they reach the driver (a little more generously, for rounding)."""
+    a, b, n1, n0 = F.col("toxic"), F.col("clean"), F.lit(float(n_toxic)), F.lit(float(n_clean))
+    both, n = a + b, n_toxic + n_clean
+
+    def part(x, expected):
+        return F.when((x > 0) & (expected > 0), x * F.log(x / expected)).otherwise(F.lit(0.0))
+
+    g = 2 * (part(a, both * n1 / n) + part(b, both * n0 / n) + part(n1 - a, (n - both) * n1 / n) + part(n0 - b, (n - both) * n0 / n))
+    return sums.where((a >= least) & ((a + 0.5) / (n1 + 1) > 1.999 * (b + 0.5) / (n0 + 1)) & (g >= significance - 0.001))
 
 
-def _shared_model(shared) -> CharModel:
-    """One model a Python worker, built from the broadcast counts' costs."""
-    key = id(shared.value)
-    if key not in _MODELS:
-        m = CharModel.__new__(CharModel)
-        m.cost, m.table = shared.value, shared.value.tolist()
-        _MODELS.clear()
-        _MODELS[key] = m
-    return _MODELS[key]
+def _model_of(cost: np.ndarray) -> CharModel:
+    """The model of costs that came by broadcast."""
+    m = CharModel.__new__(CharModel)
+    m.cost, m.table = cost, cost.tolist()
+    return m
 
 
-def score(docs: DataFrame, model: CharModel, scorer: Scorer, text_col: str = "text", carry: list[str] | None = None, restored: bool = False) -> DataFrame:
-    """docs (or its columns ``carry``) with ``toxicity``, and the restored words if asked for."""
+def score(
+    docs: DataFrame, model: CharModel, scorer: Scorer, text_col: str = "text", carry: list[str] | None = None, restored: bool = False, score_col: str = "toxicity"
+) -> DataFrame:
+    """docs (or its columns ``carry``) with the score, and the restored words if asked for."""
     spark = docs.sparkSession
-    new = ["toxicity", *["restored"] * restored]
+    new = [score_col, *["restored"] * restored]
     carry = [c for c in (docs.columns if carry is None else carry) if c not in new]
     src = docs.select(*carry, F.col(text_col).cast("string").alias("__lf_text"))
-    schema = T.StructType([*src.schema.fields[:-1], T.StructField("toxicity", T.DoubleType()), *[T.StructField("restored", T.StringType())] * restored])
+    schema = T.StructType([*src.schema.fields[:-1], T.StructField(score_col, T.DoubleType()), *[T.StructField("restored", T.StringType())] * restored])
     shared, kept = spark.sparkContext.broadcast(model.cost), spark.sparkContext.broadcast(scorer)
 
     def run(batches):
-        restore, s = Restorer(_shared_model(shared)), kept.value
+        restore, s = Restorer(_model_of(shared.value)), kept.value
         for batch in batches:
             p, texts = [], []
             for t in batch.column(batch.num_columns - 1):
-                words = restore.text(t.as_py() or "")
-                p.append(s.probability(words))
+                text = t.as_py() or ""
+                p.append(s.probability(restore.counts(text)))
                 if restored:
-                    texts.append(" ".join(w for w in words if w))
+                    texts.append(" ".join(w for w in restore.text(text) if w))
             cols = [*batch.columns[:-1], pa.array(p, pa.float64()), *([pa.array(texts, pa.string())] if restored else [])]
             yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names[:-1], *new])
+        del restore
+        let_go()
 
     return src.mapInArrow(run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5, **options) -> DataFrame:
-    """docs without those that score at or over the threshold; columns stay."""
+    """docs without those that score at or over the threshold; columns stay, whatever their names."""
     model, scorer = train(docs, labels, **options)
-    return score(docs, model, scorer).where(F.col("toxicity") < threshold).select(*docs.columns)
+    return score(docs, model, scorer, score_col="__lf_toxicity").where(F.col("__lf_toxicity") < threshold).select(*docs.columns)
