@@ -1,26 +1,32 @@
 """Main text of web pages by text-to-tag ratio.
 
 The standard library's streaming HTML parser gives events; block-level tags end a line, so a
-page in one physical line has as many logical lines as blocks.  A line's text-to-tag ratio is
-its characters over its tags.  The ratios are smoothed with a Gaussian, and two-means
-clustering of the smoothed values gives the threshold above which a line is content.
-
-Structure decides what the ratio can't: lines inside navigation, headers, footers, sidebars,
-forms, adverts, notices, comments of readers, scripts and styles are never content, and lines
-are grouped into regions, which are the page's ``article`` elements, else its ``main``
-elements, else the rest of the body.  A region is selected if it holds lines above the
-threshold; all its lines are then returned, so short paragraphs of an article survive.
-Without an article or main element the region runs from the first to the last line above
-the threshold, led by a heading that stands directly before it.
+page in one physical line has as many logical lines as blocks.
+
+1. A line's text-to-tag ratio is its characters over its tags.  Structure feeds it: characters
+   of links, and of whole navigation, header, footer, sidebar and menu elements, don't count.
+2. The ratios are smoothed with a Gaussian, and two-means clustering of their logarithms gives
+   the threshold.  Lines whose ratio and smoothed ratio reach it are the content cluster.
+3. The content region is the innermost sectioning element that holds the whole cluster, or the
+   ``article`` (else ``main``) around that; where that is the whole body, the region runs from
+   the first to the last line of the cluster.  Headings that stand directly before a region
+   outside ``article`` and ``main`` belong to it.  All lines of the region are returned, however
+   short, but those of the landmark elements of step 1 that stay below the threshold.
+4. Adverts, notices, forms, scripts, styles, comments of readers and hidden parts are no lines
+   of the article wherever they stand; they are cut out before.
 
 Defined cases
 -------------
-* null or empty html, or no content: an empty string of length 0.
+* null or empty html, or no text: an empty string of length 0.
+* no line reaches the threshold: the lines outside landmarks count as the cluster.
+* ties: all lines with one ratio are content.
 * character references are decoded; white space inside a block (also of ``br``) is one space.
 * unclosed and stray end tags are tolerated; a void element opens nothing.
 * an unclosed comment, script or style hides the rest of the page, as in a browser.
-* repeated rows give repeated rows; extra columns pass through ``extract`` untouched unless
-  they are named like its results.
+* a class or id name marks chrome only as a whole name or its first or last part, and never an
+  element that holds an ``article`` or ``main`` element or most of the page's text.
+* empty tables: an empty result; repeated rows give repeated rows; extra columns pass through
+  ``extract`` untouched unless they are named like its results.
 * one page must fit in a task's memory; its length is not limited otherwise.
 """
 
@@ -42,110 +48,207 @@ BLOCKS = frozenset(
     "tbody td tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset(
-    "head title script style noscript template iframe object svg math canvas nav header footer aside form button select textarea "
-    "dialog menu search audio video".split()
-)
-SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
-#: Words of class and id values that mark what is no article.
-SKIPPED_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|adslot|adbox|banner|promo(?:tion)?|sponsor(?:ed)?|nav(?:bar|igation)?|menu|"
-    r"breadcrumbs?|side-?bar|footer|comments?|commentlist|respond|replies|disqus|cookies?|consent|gdpr|notices?|popup|modal|"
-    r"overlay|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|widget|pagination|pager|toolbar|skip-?link)s?(?:$|[\s_-])",
-    re.I,
-)
+#: Never text of the page, whatever it holds.
+UNSEEN = frozenset("head title script style noscript template iframe object svg math canvas audio video".split())
+#: Controls: cut out, but a form that holds most of the page's text is a wrapper.
+CONTROLS = frozenset("form button select textarea dialog search".split())
+#: Landmarks: their characters don't count in the ratio.
+LANDMARKS = frozenset("nav footer aside menu".split())
+LANDMARK_ROLES = frozenset("navigation banner contentinfo complementary menu menubar toolbar".split())
+CUT_ROLES = frozenset("search form dialog alert alertdialog".split())
+#: Words of class and id names that mark landmarks, and what is cut out.
+LANDMARK_WORDS = frozenset("nav navbar navigation menu breadcrumb breadcrumbs sidebar side-bar footer pagination pager toolbar".split())
 #: The same outside an article; inside one they hold its headline.
-SKIPPED_OUTSIDE = re.compile(r"(?:^|[\s_-])(?:header|masthead)s?(?:$|[\s_-])", re.I)
+HEADER_WORDS = frozenset("header masthead".split())
+CUT_WORDS = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising adslot adbox banner promo promotion sponsor sponsored comment comments "
+    "commentlist respond replies disqus cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe signup login share "
+    "sharing social related recommended widget skiplink skip-link".split()
+)
+#: Parts of a name that say that it speaks of the layout around the thing.
+_LAYOUT = frozenset("has no with without layout page site wrapper container content".split())
 _ARTICLE, _MAIN = "article", "main"
+SECTIONS = frozenset("html body div section article main td center form dialog details fieldset".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _SPACE = re.compile(r"\s+")
+_PART = re.compile(r"[-_]+")
+
+
+def name_marks(value: str, words: frozenset) -> bool:
+    """Whether one of the names in a class or id value is such a word, or begins or ends with one."""
+    for name in value.lower().split():
+        if name in words:
+            return True
+        parts = _PART.split(name)
+        if len(parts) > 1 and not _LAYOUT.intersection(parts) and (parts[0] in words or parts[-1] in words):
+            return True
+    return False
+
+
+class _Element:
+    """An open or closed element: its parent, and what marks it."""
+
+    __slots__ = ("tag", "parent", "depth", "cut", "landmark", "header", "link", "chars", "holds_article")
+
+    def __init__(self, tag: str, parent: _Element | None):
+        self.tag, self.parent, self.depth = tag, parent, parent.depth + 1 if parent else 0
+        self.cut = self.landmark = self.header = self.link = self.holds_article = False
+        self.chars = 0
 
 
 class _Lines(HTMLParser):
-    """Logical lines: [text parts, number of tags, region, heading]; region is None for what is skipped."""
+    """Logical lines: pieces of text with the element that holds each, and the number of tags."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.lines: list[list] = []
-        self.stack: list[tuple[str, int, bool]] = []  # tag, region before it, opens skipping
-        self.skipping = 0
-        self.region = 0  # 0: plain body
-        self.kinds = [""]
-        self.parts: list[tuple[str, bool]] = []
-        self.tags = 0
-        self.heading = False
+        self.root = self.at = _Element("", None)
+        self.lines: list[tuple[list, int, bool]] = []
+        self.parts: list[tuple[str, _Element]] = []
+        self.tags, self.unseen, self.heading = 0, 0, False
+        self.marked: list[_Element] = []
 
     def flush(self):
-        """Ends a line.  Skipped parts are cut out of it; a line of nothing else is kept without a region."""
         if self.parts:
-            for mine, region in ((False, self.region), (True, None)):
-                text = _SPACE.sub(" ", "".join(t for t, skipped in self.parts if skipped == mine)).strip()
-                if text:
-                    self.lines.append([text, self.tags, region, self.heading])
-                    self.tags = 0
-                    break
+            if any(not t.isspace() for t, _ in self.parts):
+                self.lines.append((self.parts, self.tags, self.heading))
+                self.tags = 0
             self.parts = []
 
-    def _skips(self, tag, attrs):
-        if tag in SKIPPED:
-            return not (tag == "header" and self.kinds[self.region] == _ARTICLE)
-        if tag in ("html", "body", _ARTICLE, _MAIN):
-            return False
+    def _mark(self, e: _Element, attrs) -> None:
+        e.cut, e.landmark, e.header, e.link = e.tag in CONTROLS, e.tag in LANDMARKS, e.tag == "header", e.tag == "a"
+        if e.tag in ("html", "body", _ARTICLE, _MAIN):
+            return
         for k, v in attrs:
-            if v and (k in ("class", "id") and SKIPPED_NAMES.search(v) or k == "role" and v.lower() in SKIPPED_ROLES):
-                return True
-            if v and k in ("class", "id") and self.kinds[self.region] != _ARTICLE and SKIPPED_OUTSIDE.search(v):
-                return True
-            if k == "hidden" or k == "aria-hidden" and v == "true":
-                return True
-        return False
+            if k in ("class", "id") and v:
+                e.cut |= name_marks(v, CUT_WORDS)
+                e.landmark |= name_marks(v, LANDMARK_WORDS)
+                e.header |= name_marks(v, HEADER_WORDS)
+            elif k == "role" and v:
+                e.cut |= v.lower() in CUT_ROLES
+                e.landmark |= v.lower() in LANDMARK_ROLES
+            elif k == "hidden" or k == "aria-hidden" and v == "true":
+                e.cut = True
 
     def handle_starttag(self, tag, attrs):
         if tag in BLOCKS:
             self.flush()
-            if tag == "p" or tag in ("li", "dt", "dd", "tr", "td", "th", "option"):
+            if tag in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):
                 self._close_implied(tag)
         self.tags += 1
         if tag in VOID:
-            if tag in ("br", "hr", "wbr"):
-                self.parts.append((" ", self.skipping > 0))
+            if tag in ("br", "hr", "wbr") and not self.unseen:
+                self.parts.append((" ", self.at))
             return
-        skip = self._skips(tag, attrs)
-        self.stack.append((tag, self.region, skip))
-        self.skipping += skip
+        self.at = _Element(tag, self.at)
+        self.unseen += tag in UNSEEN
+        self._mark(self.at, attrs)
+        if self.at.cut:
+            self.marked.append(self.at)
+        if tag in (_ARTICLE, _MAIN):
+            up = self.at.parent
+            while up and not up.holds_article:
+                up.holds_article = True
+                up = up.parent
         self.heading = tag in _HEADING or self.heading and tag not in BLOCKS
-        if tag in (_ARTICLE, _MAIN) and not self.skipping and self.kinds[self.region] != _ARTICLE:
-            self.kinds.append(tag)
-            self.region = len(self.kinds) - 1
 
     def _close_implied(self, tag):
         """A block of the same kind that is still open ends here, unless a container stands between."""
-        for i in range(len(self.stack) - 1, -1, -1):
-            name = self.stack[i][0]
-            if name == tag:
-                self._pop(i)
+        e = self.at
+        while e.parent:
+            if e.tag == tag:
+                self._close(e)
                 return
-            if name in BLOCKS and name != "p":
+            if e.tag in BLOCKS and e.tag != "p":
                 return
+            e = e.parent
 
-    def _pop(self, i):
-        for _, region, skip in reversed(self.stack[i:]):
-            self.skipping -= skip
-            self.region = region
-        del self.stack[i:]
+    def _close(self, e):
+        while self.at is not e.parent:
+            self.unseen -= self.at.tag in UNSEEN
+            self.at.parent.chars += self.at.chars
+            self.at = self.at.parent
 
     def handle_endtag(self, tag):
         if tag in BLOCKS:
             self.flush()
             self.heading = False
         self.tags += 1
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._pop(i)
+        e = self.at
+        while e.parent:
+            if e.tag == tag:
+                self._close(e)
                 return
+            e = e.parent
 
     def handle_data(self, data):
-        self.parts.append((data, self.skipping > 0))
+        if not self.unseen:
+            self.parts.append((data, self.at))
+            self.at.chars += len(data)
+
+    def finish(self):
+        self.flush()
+        while self.at.parent:
+            self._close(self.at)
+        for e in self.marked:  # a wrapper of the page isn't what its name says
+            if e.holds_article or 2 * e.chars > self.root.chars:
+                e.cut = False
+
+
+def _ways_up(e: _Element) -> list[_Element]:
+    out = [e]
+    while out[-1].parent:
+        out.append(out[-1].parent)
+    return out
+
+
+class Line:
+    """A logical line: text, tags, the characters that count in its ratio, whether it's in a landmark or a heading, its section."""
+
+    __slots__ = ("text", "tags", "counted", "landmark", "heading", "section")
+
+    def __init__(self, text, tags, counted, landmark, heading, section):
+        self.text, self.tags, self.counted, self.landmark, self.heading, self.section = text, tags, counted, landmark, heading, section
+
+    @property
+    def ratio(self) -> float:
+        return self.counted / max(1, self.tags)
+
+
+def logical_lines(html: str) -> list[Line]:
+    p = _Lines()
+    p.feed(html)
+    p.close()
+    p.finish()
+    known: dict[_Element, tuple] = {p.root: (False, False, False, p.root, False)}
+
+    def state(e):
+        """(cut out, in a landmark, in a link, innermost section, in an article) of an element."""
+        path = []
+        while e not in known:
+            path.append(e)
+            e = e.parent
+        cut, landmark, link, section, article = known[e]
+        for e in reversed(path):
+            own = (e.landmark or e.header and not article) and not e.holds_article
+            cut, landmark, link, article = cut or e.cut, landmark or own, link or e.link, article or e.tag == _ARTICLE
+            section = e if e.tag in SECTIONS else section
+            known[e] = cut, landmark, link, section, article
+        return known[path[0]] if path else known[e]
+
+    out, tags = [], 0
+    for parts, n, heading in p.lines:
+        tags += n
+        kept = [(t, state(e)) for t, e in parts]
+        kept = [(t, s) for t, s in kept if not s[0]]
+        text = _SPACE.sub(" ", "".join(t for t, _ in kept)).strip()
+        if not text:
+            continue
+        words = [(t, s) for t, s in kept if t.strip()]
+        landmark = all(s[1] for _, s in words)
+        counted = min(len(text), sum(len(t) for t, s in words if not s[1] and not s[2]))
+        out.append(Line(text, tags, counted, landmark, heading, words[0][1][3]))
+        tags = 0
+    return out
 
 
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
@@ -175,38 +278,52 @@ def threshold(values: np.ndarray) -> float:
     return float(np.expm1((low + high) / 2))
 
 
-def main_text(html: str | None, sigma: float = 1.0) -> str:
-    """Text of the content regions of a page."""
-    if not html:
-        return ""
-    p = _Lines()
-    p.feed(html)
-    p.close()
-    p.flush()
-    lines = p.lines
+#: Lines whose ratios (plus one) lie within this factor are one cluster.
+APART = 4
+
+
+def _region(cluster: list[Line]) -> _Element:
+    """The innermost section around all lines of the cluster, widened to an article or main element around it."""
+    sections = list(dict.fromkeys(x.section for x in cluster))
+    ways = _ways_up(sections[0])
+    depth = len(ways)
+    for e in sections[1:]:
+        while e.depth >= depth or ways[-1 - e.depth] is not e:
+            e = e.parent
+        depth = min(depth, e.depth + 1)
+    section = ways[-depth]
+    for tag in (_ARTICLE, _MAIN):
+        for e in _ways_up(section):
+            if e.tag == tag:
+                return e
+    return section
+
+
+def main_text(html: str | None, sigma: float = 1.0, bar: float | None = None) -> str:
+    """Text of the content region of a page.  ``bar`` takes the place of the clusters' threshold."""
+    lines = logical_lines(html) if html else []
     if not lines:
         return ""
-    ratio = smoothed(np.array([len(t) / max(1, n) for t, n, _, _ in lines]), sigma)
-    open_to = [i for i, x in enumerate(lines) if x[2] is not None]
-    if not open_to:
-        return ""
-    bar = threshold(ratio)
-    content = {i for i in open_to if ratio[i] >= bar}
-    for kind in (_ARTICLE, _MAIN):
-        own = [i for i in open_to if p.kinds[lines[i][2]] == kind]
-        if own:
-            rich = {lines[i][2] for i in own if i in content} or {lines[i][2] for i in own}
-            return "\n\n".join(lines[i][0] for i in own if lines[i][2] in rich)
-    if not content:
-        content = set(open_to)
-    first, last = min(content), max(content)
-    own = [i for i in content if len(lines[i][0]) / max(1, lines[i][1]) >= bar]
-    if own:  # smoothing carries content one line too far at its ends
-        first, last = min(own), max(own)
-    lead = [i for i in open_to if i < first]
-    while lead and lines[lead[-1]][3]:
-        first = lead.pop()
-    return "\n\n".join(lines[i][0] for i in open_to if first <= i <= last)
+    own = np.array([x.ratio for x in lines])
+    smooth = smoothed(own, sigma)
+    if bar is None:
+        bar = threshold(smooth) if own.max() + 1 >= APART * (own.min() + 1) else 0.0
+    high = (own >= bar) & (smooth >= bar)
+    cluster = [x for x, y in zip(lines, high, strict=True) if y] or [x for x in lines if not x.landmark] or lines
+    region = _region(cluster)
+    holds = {e: region in _ways_up(e) for e in {x.section for x in lines}}
+    inside = [holds[x.section] for x in lines]
+    first = inside.index(True)
+    if region.tag in ("", "html", "body"):
+        members = set(map(id, cluster))
+        found = [i for i, x in enumerate(lines) if id(x) in members]
+        first = found[0]
+        inside = [first <= i <= found[-1] for i in range(len(lines))]
+    while region.tag not in (_ARTICLE, _MAIN) and first and lines[first - 1].heading and not lines[first - 1].landmark:
+        first -= 1
+        inside[first] = True
+    all_landmarks = all(x.landmark for x, y in zip(lines, inside, strict=True) if y)
+    return "\n\n".join(x.text for x, y, z in zip(lines, inside, own, strict=True) if y and (not x.landmark or z >= bar or all_landmarks))
 
 
 def extract(pages: DataFrame, html_col: str = "html", carry: list[str] | None = None, sigma: float = 1.0) -> DataFrame:
