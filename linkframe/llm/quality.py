@@ -1,13 +1,18 @@
 """Quality scores from random-indexing word vectors and a small network.
 
-1. Word vectors: every word gets a fixed sparse index vector of +1, -1 and 0; its context
-   vector is the sum of the index vectors of its neighbours in all documents.  Words are
-   hashed to ``BUCKETS`` by their written shape and a coarse hash of their letters, and a word
-   that repeats one of the two before it is the word "repeat", so the table has a fixed size.
-   Sums are integers: the result doesn't depend on how the input is cut.
-2. Pooling: the mean of a document's word vectors, and the largest and smallest component
+1. Words: runs of letters and digits, and runs of other characters that aren't white space, as
+   written.  A word that directly repeats the one before it, or the one before a mark, is the
+   word "repeat".
+2. Word vectors: every word has a sparse index vector of ``NONZERO`` entries +1 and -1 (they add up
+   where they meet), drawn from its hash.  Its context vector is the sum of the index vectors in
+   its windows of ``REACH`` words to either side (itself included) over all documents.  Sums are
+   integers: the result doesn't depend on how the input is cut.  The two halves of a context vector are kept in two tables of
+   ``ROWS`` rows, each by a hash of its own: different words share a vector only where both
+   hashes meet (one pair in ROWS**2), half a vector more often.  The tables have a fixed size on
+   any corpus; what they sum up grows with it.
+3. Pooling: the mean of a document's word vectors, and the largest and smallest component
    means over its segments of ``SEGMENT`` words, so a spoilt part of a long text shows.
-3. Network: two numpy layers (tanh, then logistic) trained with Adam on at most
+4. Network: two numpy layers (tanh, then logistic) trained with Adam on at most
    ``max_labelled`` labelled rows; a fifth of these is kept from training and sets the
    temperature that divides the logit.
 
@@ -17,12 +22,18 @@ Defined cases
 * labels that are null or neither 0 nor 1, and labels of unknown documents, are ignored;
   repeated labels of one id count once (the largest).
 * no usable labels: every score is 0.5; one class only: every score is that class.
+* empty tables: an empty result; without documents all vectors are zero.
+* ties: equal texts, and so repeated rows, get equal scores.
 * extra columns pass through ``score`` untouched unless they are named like its result.
-* very long texts are read whole, a block of words at a time.
+* very long texts are read whole, a block of ``BLOCK`` characters at a time; windows and
+  repeats don't reach over the end of a block.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -30,123 +41,234 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from linkframe.llm.toxicity import labelled_sample
+from linkframe.llm.hashing import mix64
+from linkframe.llm.toxicity import blocks_of, labelled_sample, let_go
+from linkframe.plans.lineage import small_batches
 
-BUCKETS, WIDTH, SEGMENT, NONZERO = 4096, 32, 32, 6
-REPEAT = 0
-_BLOCK = 1 << 17
+ROWS, WIDTH, NONZERO, REACH, SEGMENT = 1 << 18, 64, 8, 2, 32
+HALF = WIDTH // 2
+#: Rows of a table travel in parts, each summed by one task.
+PARTS, PART_ROWS = 512, 2 * ROWS // 512
+BLOCK = 1 << 19
+_WORD = re.compile(r"\w+|[^\w\s]+")
+_GAP = [None] * REACH
 
 
-def index_vectors(seed: int = 7) -> np.ndarray:
-    rng = np.random.default_rng(seed)
-    out = np.zeros((BUCKETS, WIDTH), np.int8)
-    for row in out:
-        at = rng.choice(WIDTH, NONZERO, replace=False)
-        row[at[: NONZERO // 2]], row[at[NONZERO // 2 :]] = 1, -1
-    return out
+def hashes_of(words: list[str]) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, count=len(words))
 
 
-def shape_of(word: str) -> str:
-    """Classes of a word's characters, runs as one: The,, -> Aa,"""
-    out, last = [], ""
-    for c in word[:64]:
-        k = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-        if k != last:
-            out.append(k)
-            last = k
-            if len(out) == 6:
-                break
-    return "".join(out)
+def rows_of(h: np.ndarray) -> np.ndarray:
+    """Rows in the two tables of words by their hashes, from bits apart."""
+    return np.stack([h % np.uint64(ROWS), (h >> np.uint64(32)) % np.uint64(ROWS)], axis=1).astype(np.int32)
 
 
-class Words(dict):
-    """White-space tokens to consecutive numbers; ``bucket`` gives each number's bucket."""
+def index_vectors(h: np.ndarray) -> np.ndarray:
+    """Index vectors of words by their hashes: NONZERO places, the first half +1, the others -1."""
+    out, h, every = np.zeros((len(h), WIDTH), np.int8), mix64(h), np.arange(len(h))
+    for k in range(NONZERO):
+        out[every, (h >> np.uint64(6 * k)) % np.uint64(WIDTH)] += 1 if 2 * k < NONZERO else -1
+    return out
 
-    def __init__(self, memory: int = 500_000):
-        self.memory, self.buckets = memory, []
 
-    def __missing__(self, word: str) -> int:
-        core = "".join(filter(str.isalpha, word.lower()))
-        key = f"{shape_of(word)}\0{xxhash.xxh32_intdigest(core) % 8}"
-        self.buckets.append(1 + xxhash.xxh32_intdigest(key) % (BUCKETS - 1))
-        self[word] = n = len(self.buckets) - 1
+class Words(dict):
+    """Words to consecutive numbers from 1 on, with each number's rows in the two tables and, if asked for, its
+    index vector.  Number 0 is the word "repeat", None a gap (-1).  It starts anew once it holds ``memory`` words."""
+
+    def __init__(self, indexed: bool = False, memory: int = 150_000):
+        self.memory, self.indexed = memory, indexed
+        self._start(memory)
+
+    def _start(self, room: int) -> None:
+        self.clear()
+        self[None] = -1
+        self.used, repeat = 1, hashes_of(["\0repeat"])
+        self.rows = np.zeros((room, 2), np.int32)
+        self.wordy = np.zeros(room + 1, bool)  # the last one, that of a gap, stays False
+        self.index = np.zeros((room if self.indexed else 0, WIDTH), np.int8)
+        self.rows[0] = rows_of(repeat)[0]
+        if self.indexed:
+            self.index[0] = index_vectors(repeat)[0]
+
+    def _learn(self, new: list[str]) -> None:
+        start, end = self.used, self.used + len(new)
+        if end > len(self.rows):
+            more = max(end, 2 * len(self.rows)) - len(self.rows)
+            self.rows = np.concatenate([self.rows, np.zeros((more, 2), np.int32)])
+            self.wordy = np.concatenate([self.wordy, np.zeros(more, bool)])
+            if self.indexed:
+                self.index = np.concatenate([self.index, np.zeros((more, WIDTH), np.int8)])
+        h = hashes_of(new)
+        self.update(zip(new, range(start, end), strict=True))
+        self.rows[start:end] = rows_of(h)
+        self.wordy[start:end] = np.fromiter(map(str.isalnum, new), bool, count=len(new))
+        if self.indexed:
+            self.index[start:end] = index_vectors(h)
+        self.used = end
+
+    def numbers(self, flat: list[str | None]) -> np.ndarray:
+        """Numbers of words with gaps (None) between texts; they hold until the next call."""
+        distinct = set(flat)
+        if self.used > self.memory:
+            self._start(self.memory)
+        self._learn(list(distinct.difference(self)))
+        n = np.fromiter(map(self.__getitem__, flat), np.int32, count=len(flat))
+        wordy, again = self.wordy[n], np.zeros(len(n), bool)
+        again[1:] = wordy[1:] & (n[1:] == n[:-1])
+        again[2:] |= wordy[2:] & ~wordy[1:-1] & (n[1:-1] >= 0) & (n[2:] == n[:-2])
+        n[again] = 0
         return n
 
-    def ids(self, text: str) -> np.ndarray:
-        """Buckets of a text's words."""
-        if len(self) > self.memory:
-            self.clear()
-            self.buckets.clear()
-        words = text.split()
-        n = np.fromiter([self[w] for w in words], np.int64, count=len(words))
-        out = np.array(self.buckets, np.int64)[n] if len(self.buckets) < 4 * len(n) else np.fromiter([self.buckets[i] for i in n], np.int64, count=len(n))
-        again = np.zeros(len(n), bool)
-        again[1:] = n[1:] == n[:-1]
-        again[2:] |= n[2:] == n[:-2]
-        out[again] = REPEAT
-        return out
-
 
-def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Unit context vectors (BUCKETS, WIDTH) of all documents' words."""
+def grouped(texts, limit: int = 1 << 18) -> Iterator[tuple[list, list, list, list]]:
+    """Words of about ``limit`` or more, with a gap after each block of a text: words, starts and ends of the
+    blocks, and the numbers of the texts they belong to."""
+    flat, starts, ends, owners = [], [], [], []
+    for i, text in enumerate(texts):
+        for part in blocks_of(text or "", BLOCK):
+            if found := _WORD.findall(part):
+                starts.append(len(flat))
+                flat += found
+                ends.append(len(flat))
+                flat += _GAP
+                owners.append(i)
+                if len(flat) > limit:
+                    yield flat, starts, ends, owners
+                    flat, starts, ends, owners = [], [], [], []
+    if flat:
+        yield flat, starts, ends, owners
+
+
+def _sorted_by(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that sorts numbers below 2**32, by two passes of 16 bits, and the starts of equal ones in it."""
+    order = np.argsort((n & 0xFFFF).astype(np.uint16), kind="stable")
+    order = order[np.argsort((n >> 16).astype(np.uint16)[order], kind="stable")]
+    n = n[order]
+    return order, np.flatnonzero(np.append(True, n[1:] != n[:-1]))
+
+
+def run_sums(x: np.ndarray, cuts: np.ndarray, bias: int) -> np.ndarray:
+    """Sums of the rows of x (bytes, WIDTH wide) from each cut to the next.  Four columns are added at once, as
+    16-bit lanes of a word: values must lie within ``bias`` of 0, and runs be short enough for 16 bits."""
+    lanes = (x + np.int16(bias)).astype(np.uint16).view(np.uint64)
+    sums = np.add.reduceat(lanes, cuts, axis=0).view(np.uint16).astype(np.int32)
+    return sums - np.diff(np.append(cuts, len(x)))[:, None].astype(np.int32) * np.int32(bias)
+
+
+class ContextSums:
+    """The two tables of context sums, dense: 2 * ROWS * HALF integers."""
+
+    def __init__(self):
+        self.sums = np.zeros((2, ROWS, HALF), np.int32)
+
+    def add(self, n: np.ndarray, words: Words) -> None:
+        """Adds the windows of consecutive words; after each text n has REACH gaps (-1)."""
+        rows = words.index[n]
+        rows[n < 0] = 0
+        near = rows.copy()
+        for d in range(1, REACH + 1):
+            near[d:] += rows[:-d]
+            near[:-d] += rows[d:]
+        kept = np.flatnonzero(n >= 0)
+        order, cuts = _sorted_by(n[kept])
+        order = kept[order]
+        most = (2 * REACH + 1) * NONZERO // 2
+        cuts = np.union1d(cuts, np.arange(0, len(order), 0xFFFF // (2 * most + 1)))  # no lane overflows
+        own = run_sums(near[order], cuts, most)
+        at = words.rows[n[order[cuts]]]
+        for half in (0, 1):
+            order, cuts = _sorted_by(at[:, half])
+            nth = np.arange(len(order)) - np.repeat(cuts, np.diff(np.append(cuts, len(order))))
+            for k in range(nth.max() + 1):  # rows that several words share, one word at a time
+                i = order[nth == k]
+                self.sums[half, at[i, half]] += own[i, half * HALF : (half + 1) * HALF]
+
+
+_PARTS_SCHEMA = pa.schema([("part", pa.int32()), ("small", pa.bool_()), ("rows", pa.binary()), ("sums", pa.binary())])
+_PARTS_DDL = "part int, small boolean, rows binary, sums binary"
+
+
+def _parts_of(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Rows that aren't zero, in parts, those of small numbers as bytes."""
+    flat = sums.reshape(PARTS, PART_ROWS, HALF)
+    for i, part in enumerate(flat):
+        most = np.abs(part).max(axis=1)
+        out = []
+        for small, at in ((True, np.flatnonzero((most > 0) & (most < 128))), (False, np.flatnonzero(most >= 128))):
+            if len(at):
+                out.append((i, small, at.astype(np.uint16).tobytes(), part[at].astype(np.int8 if small else part.dtype).tobytes()))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PARTS_SCHEMA, strict=True)], schema=_PARTS_SCHEMA)
+
+
+def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """(part, rows, vectors) of the tables' rows that aren't zero: unit vectors times 127, as bytes."""
 
     def count(batches):
-        index, words, out = index_vectors(), Words(), np.zeros((BUCKETS, WIDTH))
+        words, table = Words(indexed=True), ContextSums()
+        for batch in batches:
+            for flat, *_ in grouped(t.as_py() for t in batch.column(0)):
+                table.add(words.numbers(flat), words)
+        yield from _parts_of(table.sums)
+        del words, table
+        let_go()
+
+    def merge(batches):
+        total: dict = {}
         for batch in batches:
-            held, n = [], 0
-            gap = np.full(1, -1)
-            for t in batch.column(0):
-                ids = words.ids(t.as_py() or "")
-                held += [ids, gap]
-                n += len(ids)
-                if n > _BLOCK:
-                    _add_many(held, index, out)
-                    held, n = [], 0
-            _add_many(held, index, out)
-        flat = out.ravel().astype(np.int64)
-        at = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(flat[at], pa.int64())], names=["k", "n"])
-
-    rows = docs.select(F.col(text_col).cast("string")).mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-    found = rows.toArrow()  # at most BUCKETS * WIDTH rows
-    out = np.zeros(BUCKETS * WIDTH)
-    out[found.column("k").to_numpy()] = found.column("n").to_numpy()
-    out = out.reshape(BUCKETS, WIDTH)
-    return (out / np.maximum(1e-9, np.linalg.norm(out, axis=1, keepdims=True))).astype(np.float32)
-
-
-def _add_many(parts: list[np.ndarray], index: np.ndarray, out: np.ndarray) -> None:
-    """Contexts of several texts with a gap (-1) after each."""
-    if not parts:
-        return
-    ids = np.concatenate(parts)
-    padded = np.vstack([index, np.zeros((1, WIDTH), np.int8)])
-    own = np.where(ids < 0, BUCKETS, ids)
-    for i in range(0, len(own), _BLOCK):
-        mid = own[i : i + _BLOCK]
-        near = np.zeros((len(mid), WIDTH), np.int8)
-        before = own[max(0, i - 1) : i + len(mid) - 1]
-        near[len(mid) - len(before) :] += padded[before]
-        after = own[i + 1 : i + 1 + len(mid)]
-        near[: len(after)] += padded[after]
-        for d in range(WIDTH):
-            out[:, d] += np.bincount(mid, weights=near[:, d], minlength=BUCKETS + 1)[:BUCKETS]
-
-
-def pooled(ids: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """Mean, and largest and smallest means over segments: 3 * WIDTH values."""
-    if not len(ids):
-        return np.zeros(3 * WIDTH, np.float32)
-    total, most, least = np.zeros(WIDTH), np.full(WIDTH, -np.inf), np.full(WIDTH, np.inf)
-    for i in range(0, len(ids), _BLOCK):
-        v = vectors[ids[i : i + _BLOCK]]
-        total += v.sum(axis=0)
-        cuts = np.arange(0, len(v), SEGMENT)
-        if len(cuts) > 1 and len(v) - cuts[-1] < SEGMENT // 2:
-            cuts = cuts[:-1]
-        means = np.add.reduceat(v, cuts, axis=0) / np.diff([*cuts, len(v)])[:, None]
-        most, least = np.maximum(most, means.max(axis=0)), np.minimum(least, means.min(axis=0))
-    return np.concatenate([total / len(ids), most, least]).astype(np.float32)
+            for part, small, rows, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                at = np.frombuffer(rows, np.uint16)
+                mine = total.setdefault(part, np.zeros((PART_ROWS, HALF), np.int64))
+                mine[at] += np.frombuffer(sums, np.int8 if small else np.int32).reshape(-1, HALF)
+        for part in sorted(total):
+            length = np.linalg.norm(total[part], axis=1)
+            at = np.flatnonzero(length)
+            unit = np.rint(127 * total[part][at] / length[at, None]).astype(np.int8)
+            cols = [pa.array([part], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([unit.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, names=["part", "rows", "vectors"])
+
+    sums = docs.select(F.col(text_col).cast("string")).mapInArrow(count, _PARTS_DDL)
+    return sums.repartition(32, "part").mapInArrow(merge, "part int, rows binary, vectors binary")
+
+
+def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
+    """The two tables (2, ROWS, HALF) of all documents' words, as bytes: 16 MB on any corpus."""
+    found = context_sums(docs, text_col).toArrow()
+    out = np.zeros((PARTS, PART_ROWS, HALF), np.int8)
+    for part, rows, vectors in zip(*(c.to_pylist() for c in found.columns), strict=True):
+        out[part, np.frombuffer(rows, np.uint16)] = np.frombuffer(vectors, np.int8).reshape(-1, HALF)
+    return out.reshape(2, ROWS, HALF)
+
+
+def vector_of(word: str, vectors: np.ndarray) -> np.ndarray:
+    a, b = rows_of(hashes_of([word]))[0]
+    return np.concatenate([vectors[0, a], vectors[1, b]]).astype(float) / 127
+
+
+def pooled(texts: list[str | None], words: Words, vectors: np.ndarray) -> np.ndarray:
+    """A row a text: mean, and largest and smallest means over segments, 3 * WIDTH values."""
+    total, count = np.zeros((len(texts), WIDTH)), np.zeros(len(texts))
+    most, least = np.full((len(texts), WIDTH), -np.inf), np.full((len(texts), WIDTH), np.inf)
+    for flat, starts, ends, owners in grouped(texts):
+        n = words.numbers(flat)  # before its rows: they may move
+        rows = words.rows[n]
+        v = np.concatenate([vectors[0, rows[:, 0]], vectors[1, rows[:, 1]]], axis=1)
+        cuts, sizes, first = [], [], []
+        for a, b in zip(starts, ends, strict=True):
+            n = max(1, (b - a + SEGMENT // 2) // SEGMENT)  # a last segment of under half the length joins the one before
+            first.append(len(cuts))
+            cuts += range(a, a + n * SEGMENT, SEGMENT)
+            sizes += [SEGMENT] * (n - 1) + [b - a - (n - 1) * SEGMENT]
+        v[np.add.outer(ends, np.arange(REACH)).ravel()] = 0  # gaps
+        sums = run_sums(v, np.array(cuts), 127)
+        means = sums / np.array(sizes)[:, None]
+        np.add.at(total, owners, np.add.reduceat(sums, first, axis=0))
+        np.add.at(count, owners, np.subtract(ends, starts))
+        np.maximum.at(most, owners, np.maximum.reduceat(means, first, axis=0))
+        np.minimum.at(least, owners, np.minimum.reduceat(means, first, axis=0))
+    out = np.concatenate([total / np.maximum(count, 1)[:, None], most, least], axis=1) / 127
+    out[count == 0] = 0
+    return out.astype(np.float32)
 
 
 class Network:
@@ -215,22 +337,26 @@ def train(
     text_col: str = "text",
     max_labelled: int = 20_000,
 ) -> tuple[np.ndarray, Network | Constant]:
+    """The word vectors of all documents, and the network fitted on labelled ones."""
     spark = docs.sparkSession
+    small_batches(spark)
     vectors = word_vectors(docs, text_col)
     sample = labelled_sample(labels, id_col, label_col, max_labelled).collect()  # at most max_labelled small rows
     shared = spark.sparkContext.broadcast(vectors)
-    label = spark.sparkContext.broadcast({r["__lf_id"]: r["__lf_y"] for r in sample})
-    ids = spark.createDataFrame([(r["__lf_id"],) for r in sample], T.StructType([T.StructField("__lf_id", docs.schema[id_col].dataType)]))
-    mine = docs.select(F.col(id_col).alias("__lf_id"), F.col(text_col).cast("string").alias("__lf_text")).join(F.broadcast(ids), "__lf_id")
+    ids = T.StructType([T.StructField("__lf_id", docs.schema[id_col].dataType), T.StructField("y", T.IntegerType())])
+    sample_ids = spark.createDataFrame([(r["__lf_id"], r["__lf_y"]) for r in sample], ids)
+    mine = docs.select(F.col(id_col).alias("__lf_id"), F.col(text_col).cast("string").alias("__lf_text")).join(F.broadcast(sample_ids), "__lf_id")
 
     def pool(batches):
         words = Words()
         for batch in batches:
-            x = [pooled(words.ids(t.as_py() or ""), shared.value).tobytes() for t in batch.column(1)]
-            y = [label.value[i.as_py()] for i in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array(y, pa.int32()), pa.array(x, pa.binary())], names=["y", "x"])
+            x = pooled(batch.column(1).to_pylist(), words, shared.value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([row.tobytes() for row in x], pa.binary())], names=["y", "x"])
+        del words
+        let_go()
 
-    found = mine.mapInArrow(pool, "y int, x binary").toArrow()  # at most one row a sampled document
+    found = mine.select("y", "__lf_text").mapInArrow(pool, "y int, x binary").toArrow()  # at most one row a sampled document
+    shared.destroy()
     rows = sorted(zip(found.column("x").to_pylist(), found.column("y").to_pylist(), strict=True))
     y = np.array([r[1] for r in rows], float)
     if not len(y) or y.min() == y.max():
@@ -249,6 +375,7 @@ def train(
 def score(docs: DataFrame, vectors: np.ndarray, net: Network | Constant, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """docs (or its columns ``carry``) with ``quality_score``."""
     spark = docs.sparkSession
+    small_batches(spark)
     carry = [c for c in (docs.columns if carry is None else carry) if c != "quality_score"]
     src = docs.select(*carry, F.col(text_col).cast("string").alias("__lf_text"))
     schema = T.StructType([*src.schema.fields[:-1], T.StructField("quality_score", T.DoubleType())])
@@ -257,8 +384,10 @@ def score(docs: DataFrame, vectors: np.ndarray, net: Network | Constant, text_co
     def run(batches):
         words = Words()
         for batch in batches:
-            x = [pooled(words.ids(t.as_py() or ""), shared.value) for t in batch.column(batch.num_columns - 1)]
-            p = kept.value.probability(np.array(x, float).reshape(len(x), 3 * WIDTH))
+            x = pooled(batch.column(batch.num_columns - 1).to_pylist(), words, shared.value)
+            p = kept.value.probability(x.astype(float))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p, pa.float64())], names=[*batch.schema.names[:-1], "quality_score"])
+        del words
+        let_go()
 
     return src.mapInArrow(run, schema)
