@@ -12,6 +12,8 @@ Defined cases
 * an empty benchmark: no hits; empty documents: an empty result.
 * repeated items and rows: each row is judged alone; an id counts once per document.
 * extra columns pass through untouched; working columns start with ``__lf_``.
+* ties: equal windows of several items count for each; very long texts are scanned whole, a task
+  holding the words of one at a time.
 
 Size: the set is broadcast only while the benchmark's text stays under
 ``max_broadcast_bytes``.  A larger benchmark is cut by a hash of its text into parts under
@@ -20,7 +22,6 @@ the bound, and the documents are scanned once per part, hits being merged row by
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -203,14 +204,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, mode: str = "documents"
     if mode == "documents":
         return found.where(F.size("__lf_hits.spans") == 0).select(*docs.columns)
 
-    @F.udf(T.StringType(), useArrow=True)
-    def cut(text, spans):
-        if text is None or not spans:
-            return text
-        return _without(text.encode(), [{"lo": s["lo"], "hi": s["hi"]} for s in spans]).decode()
+    at = found.columns.index(text_col)
+    schema = docs.select(*(F.col(c).cast("string") if c == text_col else F.col(c) for c in docs.columns)).schema
 
-    cleaned = F.when(F.size("__lf_hits.spans") == 0, F.col(text_col)).otherwise(cut(F.col(text_col), F.col("__lf_hits.spans")))
-    return found.withColumn(text_col, cleaned).select(*docs.columns)
+    def cut(batches):
+        for batch in batches:
+            texts = batch.column(at).to_pylist()
+            for i, hits in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+                if hits["spans"]:
+                    texts[i] = _without(texts[i].encode(), hits["spans"]).decode()
+            cols = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns[:-1])]
+            yield pa.RecordBatch.from_arrays(cols, names=batch.schema.names[:-1])
+
+    return found.withColumn(text_col, F.col(text_col).cast("string")).select(*docs.columns, "__lf_hits").mapInArrow(cut, schema)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
@@ -225,24 +231,3 @@ def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **opti
         F.sha2(F.concat_ws(",", F.col("__lf_hits.items")).cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
-
-
-def brute_force(docs: list[tuple], items: list[tuple], n: int = 10) -> dict:
-    """The contract word by word, for tests: {doc_id: (n_words, n_hit, n_items, sha, contaminated)}."""
-    norm = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
-    windows = []
-    for item_id, text in items:
-        w = norm(text)
-        size = min(n, len(w))
-        windows += [(str(item_id), tuple(w[i : i + size])) for i in range(len(w) - size + 1) if size]
-    out = {}
-    for doc_id, text in docs:
-        w = norm(text)
-        hit, ids = set(), set()
-        for item_id, win in windows:
-            for i in range(len(w) - len(win) + 1):
-                if tuple(w[i : i + len(win)]) == win:
-                    hit.update(range(i, i + len(win)))
-                    ids.add(item_id)
-        out[doc_id] = (len(w), len(hit), len(ids), hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest(), bool(hit))
-    return out

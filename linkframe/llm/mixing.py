@@ -126,12 +126,13 @@ def plan(tokens: DataFrame, scratch: Scratch, budget: float | None, budget_share
 
 
 def select(tokens: DataFrame, leaf_plan: DataFrame, seed: int, max_broadcast_leaves: int) -> DataFrame:
-    """tokens (id, levels and any other columns) once for each epoch that takes the row."""
+    """tokens (id, levels and any other columns) once for each epoch that takes the row, with ``__lf_epoch``."""
     small = leaf_plan.count() <= max_broadcast_leaves
+    leaf_plan = leaf_plan.select(*LEVELS, *(F.col(c).alias(f"__lf_{c}") for c in ("alloc", "epochs", "last")))
     rows = tokens.join(F.broadcast(leaf_plan) if small else leaf_plan, list(LEVELS))
-    partial = F.coalesce(_key(seed, F.col("epochs")) <= F.col("last"), F.lit(False))
-    n = F.col("epochs") + partial.cast("int")
-    return rows.where(n > 0).withColumn("epoch", F.explode(F.sequence(F.lit(0), n - 1)))
+    partial = F.coalesce(_key(seed, F.col("__lf_epochs")) <= F.col("__lf_last"), F.lit(False))
+    n = F.col("__lf_epochs") + partial.cast("int")
+    return rows.where(n > 0).withColumn("__lf_epoch", F.explode(F.sequence(F.lit(0), n - 1)))
 
 
 def mix(
@@ -148,8 +149,9 @@ def mix(
     text_col: str = "text",
     report: bool = False,
     max_broadcast_leaves: int = 200_000,
+    epoch_col: str = "epoch",
 ) -> DataFrame:
-    """docs with ``epoch``, a row for each time a document is taken; or, with ``report``, only
+    """docs with ``epoch_col``, a row for each time a document is taken; or, with ``report``, only
     id, levels, tokens, the leaf's budget and epoch."""
     scratch = Scratch(docs.sparkSession, "mixing")
     domain = source_domain(F.col(source_col)) if domain is None else domain
@@ -157,8 +159,8 @@ def mix(
     tokens = scratch.cut(token_table(docs, leaf, text_col), "tokens")
     found = plan(tokens, scratch, budget, budget_share, weights or {}, max_epochs, seed, max_broadcast_leaves)
     if report:
-        names = {"__lf_id": id_col, LEVELS[0]: "domain", LEVELS[1]: "lang", LEVELS[2]: "source", "__lf_tokens": "n_tokens", "alloc": "leaf_budget"}
+        names = {"__lf_id": id_col, LEVELS[0]: "domain", LEVELS[1]: "lang", LEVELS[2]: "source", "__lf_tokens": "n_tokens", "__lf_alloc": "leaf_budget", "__lf_epoch": epoch_col}
         out = select(tokens, found, seed, max_broadcast_leaves)
-        return out.select(*(F.col(k).alias(v) for k, v in names.items()), "epoch")
-    own = [c for c in docs.columns if c != "epoch"]
-    return select(docs.select(*own, *leaf), found, seed, max_broadcast_leaves).select(*own, "epoch")
+        return out.select(*(F.col(k).alias(v) for k, v in names.items()))
+    own = [c for c in docs.columns if c != epoch_col]
+    return select(docs.select(*own, *leaf), found, seed, max_broadcast_leaves).select(*own, F.col("__lf_epoch").alias(epoch_col))

@@ -9,10 +9,12 @@ nearly equal, and only rows of full shards move.
 The ring is filled without bringing rows together.  Rows are summed by ring cell (the first
 ``CELL_BITS`` bits of the place), at most 2**CELL_BITS sums for the driver.  A cell that one
 shard can take whole goes there.  A cell that crosses a shard's limit is opened: its rows
-are summed again by the next bits, down to the bits of the id's hash, so even a single text
-that holds a third of all rows is divided.  Rows of over ``slack / 4`` of the mean load
-are few (at most 4 * shards / slack) and are placed one by one before the cells, the largest
-first.  The rows' shards come from joins with those small tables.
+are summed again by the next bits, down to the bits of the id's hash and at last those of a
+number that each row gets when the keys are written, so even a third of all rows that are
+equal in text and id is divided.  A level opens at most one cell a shard, and an opened cell
+gives at most 2**PART_BITS sums.  Rows of over ``slack / 4`` of the mean load are few (at most
+4 * shards / slack) and are placed one by one before the cells, the largest first: on small
+inputs that may be most rows.  The rows' shards come from joins with those small tables.
 
 Law kept: ``bytes`` - every shard holds at most (1 + slack) times the mean, up to one unit
 of the last opened level, so at least (1 - (shards - 1) * slack) of it.
@@ -22,7 +24,8 @@ Defined cases
 * null text: size 1 and the checksum of no bytes; null ids hash like an empty id.
 * repeated rows and equal texts stand at one place, and share a shard while it has room.
 * a row larger than a shard's limit goes to the emptiest shard.
-* empty input: an empty result.
+* empty input: an empty result; very long texts count whole and are never cut.
+* ties between large rows of one size are settled by the hashes of text and id.
 * extra columns are kept, but for those named like the results (size, text_crc32, shard, slot),
   which the results replace; working columns start with ``__lf_``.
 """
@@ -37,8 +40,10 @@ from pyspark.sql import functions as F
 
 from linkframe.plans.lineage import Scratch
 
-CELL_BITS = 16
-_LEVELS = ("__lf_c1", "__lf_c2", "__lf_c3")
+CELL_BITS, PART_BITS = 16, 12
+_LEVELS = ("__lf_c1", "__lf_c2", "__lf_c3", "__lf_c4")
+#: Maps of more rows than this aren't broadcast by force.
+MAX_BROADCAST = 1_000_000
 _SLOT_PARTS = 64
 RESULTS = ("size", "text_crc32", "shard", "slot")
 
@@ -92,18 +97,19 @@ class Ring:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """docs with size, checksum and the three levels of the place."""
+    """docs with size, checksum and the four levels of the place; the last one holds only once it is written."""
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
     digest = F.md5(text)
-    level = lambda h, i: F.conv(F.substring(h, i, CELL_BITS // 4), 16, 10).cast("int")
+    level = lambda h, i, bits: F.conv(F.substring(h, i, bits // 4), 16, 10).cast("int")
     own = F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
     return docs.select(
         "*",
         (F.length(text) + 1).cast("long").alias("__lf_size"),
         F.crc32(text).alias("__lf_crc"),
-        level(digest, 1).alias("__lf_c1"),
-        level(digest, 5).alias("__lf_c2"),
-        level(own, 1).alias("__lf_c3"),
+        level(digest, 1, CELL_BITS).alias("__lf_c1"),
+        level(digest, 5, PART_BITS).alias("__lf_c2"),
+        level(own, 1, PART_BITS).alias("__lf_c3"),
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << PART_BITS)).cast("int").alias("__lf_c4"),
         digest.alias("__lf_text"),
         own.alias("__lf_own"),
     )
@@ -117,14 +123,14 @@ def _plan(spark: SparkSession, rows: DataFrame, shards: int, slack: float, virtu
     large = {}
     found = (
         rows.where(F.col("__lf_size") > big)
-        .groupBy("__lf_size", "__lf_c1", "__lf_text", "__lf_own")
+        .groupBy("__lf_size", "__lf_c1", "__lf_text", "__lf_own", "__lf_c4")
         .agg(F.count("*").alias("n"))
         .collect()  # at most 4 * shards / slack rows exceed big
     )
-    for r in sorted(found, key=lambda r: (-r["__lf_size"], r["__lf_text"], r["__lf_own"])):
-        large[(r["__lf_text"], r["__lf_own"])] = ring.place(r["__lf_c1"], r["__lf_size"] * r["n"])
+    for r in sorted(found, key=lambda r: (-r["__lf_size"], r["__lf_text"], r["__lf_own"], r["__lf_c4"])):
+        large[(r["__lf_text"], r["__lf_own"], r["__lf_c4"])] = ring.place(r["__lf_c1"], r["__lf_size"] * r["n"])
     small = rows.where(F.col("__lf_size") <= big)
-    placed: list[tuple] = []  # (c1, c2 or -1, c3 or -1, shard)
+    placed: list[tuple] = []  # (c1, c2 or -1, c3 or -1, c4 or -1, shard)
     todo, last = [()], len(_LEVELS) - 1
     for depth in range(len(_LEVELS)):
         if not todo:
@@ -134,7 +140,7 @@ def _plan(spark: SparkSession, rows: DataFrame, shards: int, slack: float, virtu
         if depth:
             opened = spark.createDataFrame(todo, ", ".join(f"{k} int" for k in keys[:-1]))
             part = small.join(F.broadcast(opened), keys[:-1])
-        sums = part.groupBy(*keys).agg(F.sum("__lf_size").alias("size")).collect()  # 2**CELL_BITS an opened cell
+        sums = part.groupBy(*keys).agg(F.sum("__lf_size").alias("size")).collect()  # 2**CELL_BITS, then 2**PART_BITS for each of at most ``shards`` opened cells
         todo = []
         ring.closed = set()
         for *key, size in sorted(map(tuple, sums)):
@@ -158,25 +164,23 @@ def assign(
     """docs (or its columns ``carry``) with ``shard``, gapless ``slot`` in its shard, ``size`` and ``text_crc32``."""
     spark = docs.sparkSession
     carry = [c for c in (docs.columns if carry is None else carry) if c not in RESULTS]
-    rows = keyed(docs, id_col, text_col).select(*carry, *(f"__lf_{x}" for x in ("size", "crc", "c1", "c2", "c3", "text", "own")))
+    rows = keyed(docs, id_col, text_col).select(*carry, *(f"__lf_{x}" for x in ("size", "crc", "c1", "c2", "c3", "c4", "text", "own")))
     scratch = Scratch(spark, "sharding")
-    if text_col in carry:
-        narrow = scratch.cut(rows.select("__lf_size", *_LEVELS, "__lf_text", "__lf_own"), "keys")
-        large, placed, big = _plan(spark, narrow, shards, slack, virtual_nodes)
-        scratch.drop(narrow)
-    else:
-        rows = scratch.cut(rows, "keys")
-        large, placed, big = _plan(spark, rows, shards, slack, virtual_nodes)
+    rows = scratch.cut(rows, "keys")
+    large, placed, big = _plan(spark, rows, shards, slack, virtual_nodes)
+
+    def small(table, n):
+        return F.broadcast(table) if n <= MAX_BROADCAST else table
 
     # The maps are bounded by shards / slack and by the number of cells opened.
-    big_map = spark.createDataFrame([(*k, s) for k, s in large.items()], "__lf_text string, __lf_own string, __lf_s0 int")
-    out = rows.join(F.broadcast(big_map), ["__lf_text", "__lf_own"], "left")
+    big_map = spark.createDataFrame([(*k, s) for k, s in large.items()], "__lf_text string, __lf_own string, __lf_c4 int, __lf_s0 int")
+    out = rows.join(small(big_map, len(large)), ["__lf_text", "__lf_own", "__lf_c4"], "left")
     for depth in range(len(_LEVELS)):
         keys = list(_LEVELS[: depth + 1])
         mine = [(*p[: depth + 1], p[-1]) for p in placed if all(x >= 0 for x in p[: depth + 1]) and all(x < 0 for x in p[depth + 1 : -1])]
         level = spark.createDataFrame(mine, ", ".join(f"{k} int" for k in keys) + f", __lf_s{depth + 1} int")
-        out = out.join(F.broadcast(level), keys, "left")
-    by_cell = F.coalesce("__lf_s1", "__lf_s2", "__lf_s3")
+        out = out.join(small(level, len(mine)), keys, "left")
+    by_cell = F.coalesce("__lf_s1", "__lf_s2", "__lf_s3", "__lf_s4")
     out = out.withColumn("__lf_shard", F.when(F.col("__lf_size") > big, F.col("__lf_s0")).otherwise(by_cell))
     return _with_slots(out, scratch).select(
         *carry,
@@ -189,7 +193,7 @@ def assign(
 
 def _with_slots(rows: DataFrame, scratch: Scratch) -> DataFrame:
     """Numbers rows 0, 1, ... in each shard: counts by (shard, part), then numbers within a part."""
-    part = F.pmod(F.hash("__lf_own", "__lf_text"), F.lit(_SLOT_PARTS))
+    part = F.pmod(F.hash("__lf_own", "__lf_text", "__lf_c4"), F.lit(_SLOT_PARTS))
     rows = rows.withColumn("__lf_part", part)
     counts = rows.groupBy("__lf_shard", "__lf_part").count()
     before = Window.partitionBy("__lf_shard").orderBy("__lf_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from linkframe.llm import decontamination as dc
 from linkframe.llm import license_scan, mixing, quality, sharding, signature_join, toxicity
 
+from . import brute
+
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
 
@@ -42,14 +44,14 @@ def test_decontamination_report(spark, leaks, bound):
     docs = docs_of(spark, texts)
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     got = {r["doc_id"]: tuple(r)[1:] for r in dc.report(docs, bench, max_broadcast_bytes=bound).collect()}
-    assert got == dc.brute_force([(i + 1, t) for i, t in enumerate(texts)], items)
+    assert got == brute.decontaminated([(i + 1, t) for i, t in enumerate(texts)], items)
 
 
 def test_decontaminate_modes(spark, leaks, rows):
     items, texts = leaks
     docs = docs_of(spark, texts).withColumn("spans", F.lit(1))
     bench = spark.createDataFrame(items, "item_id bigint, text string")
-    expected = dc.brute_force([(i + 1, t) for i, t in enumerate(texts)], items)
+    expected = brute.decontaminated([(i + 1, t) for i, t in enumerate(texts)], items)
     kept = dc.decontaminate(docs, bench)
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {i for i, x in expected.items() if not x[4]}
     cut = {r["doc_id"]: r["text"] for r in dc.decontaminate(docs, bench, mode="spans").collect()}
@@ -114,6 +116,21 @@ def test_signature_join(spark, copies, block):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in found.collect()} == brute_classes(copies)
 
 
+def test_signature_join_through_a_null_id(spark):
+    """A-N and N-B link, A-B doesn't: the chain holds whatever N's id is."""
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(60)]
+    a, n, b = (" ".join(words[i : i + 50]) for i in (0, 4, 8))
+    sets = [set(signature_join.shingle_set(x.encode()).tolist()) for x in (a, n, b)]
+    jaccard = lambda x, y: len(x & y) / len(x | y)
+    assert jaccard(sets[0], sets[1]) > 0.75 < jaccard(sets[1], sets[2]) and jaccard(sets[0], sets[2]) < 0.75
+    for middle in (3, None):
+        rows = [(1, a), (2, b), (middle, n), (middle, n), (None, None), (None, "other words that link with nothing at all")]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+        found = [(r["doc_id"], r["n_shingles"] > 36, r["component_id"]) for r in signature_join.classes(docs).collect()]
+        assert sorted(found, key=repr) == sorted([(1, True, 1), (2, True, 1), (middle, True, 1), (middle, True, 1), (None, False, None), (None, False, None)], key=repr)
+
+
 def test_deduplicate(spark, copies):
     docs = docs_of(spark, copies).withColumn("n_shingles", F.lit("x"))
     kept = signature_join.deduplicate(docs)
@@ -261,6 +278,33 @@ def test_sharding_splits_a_hot_text(spark):
     assert len(n) == 4 and max(n) - min(n) <= 0.02 * sum(n)
 
 
+@pytest.mark.parametrize(("size", "copies"), [(50, 1000), (900, 400)])
+def test_sharding_divides_equal_rows(spark, size, copies):
+    """Rows without an id that are equal in every column keep the law, be they small or large."""
+    rows = [(None, "x" * size)] * copies + [(i, f"text {i}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    out = sharding.assign(docs, shards=8).collect()
+    load, slots = [0] * 8, [[] for _ in range(8)]
+    for r in out:
+        load[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    assert len(out) == copies + 100 and max(load) - min(load) <= 2 * (size + 1) + 0.01 * sum(load) / 8
+    assert all(sorted(s) == list(range(len(s))) for s in slots)
+
+
+def test_sharding_against_a_ring_by_rows(spark):
+    """With limits that nobody reaches, every row goes to the next point clockwise; with bounds, no shard with
+    room clockwise before the chosen one is skipped but those that a cell has closed."""
+    rng = random.Random(9)
+    docs = docs_of(spark, [prose(rng, rng.randrange(1, 30)) for _ in range(400)])
+    loose = {r["doc_id"]: r["shard"] for r in sharding.assign(docs, shards=5, slack=50.0).collect()}
+    ring = sharding.Ring(5, 1e18, 64)
+    places = {r["doc_id"]: r["__lf_c1"] for r in sharding.keyed(docs, "doc_id", "text").collect()}
+    assert loose == {i: next(iter(ring.clockwise(c))) for i, c in places.items()}
+    tight = {r["doc_id"]: r["shard"] for r in sharding.assign(docs, shards=5, slack=0.3).collect()}
+    assert sum(tight[i] == loose[i] for i in tight) > 0.5 * len(tight)  # only rows of full shards moved
+
+
 # --- classifiers ------------------------------------------------------------------------------------
 
 VILE = ["nastyword", "grubling"]
