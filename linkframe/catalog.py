@@ -2,8 +2,9 @@
 
 Graphs (see FIXTURES.md):
 
-* H: page hosts, arcs from the host of page n to the host of page n + 1; H4 keeps pages with
-  page_id % 4 = 0 as sources.
+* H: page hosts, arcs from the host of page n to the host of page n + 1.
+* C: customers; within each nation and market segment an arc from the i-th to the (i / 2)-th, and in
+  segment BUILDING one from the first to the last, so components are many and some are strong.
 * S: suppliers, P: parts; arcs between two lines of one order, from the lower line number.
   Parts carry made-up reversed names tld.dN.hM, so folding has work to do.
 """
@@ -19,12 +20,12 @@ from pyspark.sql import functions as F
 from linkframe.functions import names, suffixes
 from linkframe.operators import components, fold, preference, rank, ranks, stats
 from linkframe.operators import graph as g
-from linkframe.operators.enumerate import number, out_of_order, vertices
-from linkframe.operators.explore import listing
+from linkframe.operators.enumerate import number, out_of_order, reuse_vertices, vertices
+from linkframe.operators.explore import Explorer, listing
+from linkframe.plans.lineage import Scratch
 from linkframe.sources import hostlinks, text
 
 TLDS = ["com", "org", "net", "de", "fr"]
-ITERATIONS = 10
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,15 +40,15 @@ def page_names(spark, d) -> DataFrame:
     return hostlinks.page_hosts(table(spark, d, "pages").select("page_id", "url")).select("page_id", names.reverse_host(F.col("host")).alias("h"))
 
 
-def page_links(spark, d, every: int = 1) -> DataFrame:
+def page_links(spark, d) -> DataFrame:
     p = page_names(spark, d)
     nxt = p.select((F.col("page_id") - 1).alias("page_id"), F.col("h").alias("to"))
-    return p.where(F.col("page_id") % every == 0).join(nxt, "page_id").select(F.col("h").alias("src_host"), F.col("to").alias("dst_host"))
+    return p.join(nxt, "page_id").select(F.col("h").alias("src_host"), F.col("to").alias("dst_host"))
 
 
-def graph_h(spark, d, every: int = 1) -> g.Graph:
+def graph_h(spark, d) -> g.Graph:
     v = vertices(page_names(spark, d), "h")
-    return g.Graph(v, hostlinks.number_links(page_links(spark, d, every).withColumnsRenamed({"src_host": "s", "dst_host": "d"}), v, "s", "d"))
+    return g.Graph(v, hostlinks.number_links(page_links(spark, d).withColumnsRenamed({"src_host": "s", "dst_host": "d"}), v, "s", "d"))
 
 
 def _pairs(spark, d, key: str) -> DataFrame:
@@ -71,6 +72,17 @@ def graph_p(spark, d) -> g.Graph:
     return g.Graph(parts.select("id", "name"), e.select("src", "dst"))
 
 
+def graph_c(spark, d) -> g.Graph:
+    group = ["c_nationkey", "c_mktsegment"]
+    v = number(table(spark, d, "customer").select("c_custkey", *group, F.col("c_name").alias("name")), ["c_custkey"])
+    by = Window.partitionBy(*group)
+    at = v.select("id", *group, (F.row_number().over(by.orderBy("c_custkey")) - 1).alias("pos"), (F.count("*").over(by) - 1).alias("top"))
+    first = F.when((F.col("c_mktsegment") == "BUILDING") & (F.col("top") > 0), F.col("top"))
+    out = at.select(F.col("id").alias("src"), *group, F.when(F.col("pos") > 0, F.floor(F.col("pos") / 2)).otherwise(first).alias("pos"))
+    edges = out.join(at.select(F.col("id").alias("dst"), *group, F.col("pos").cast("long").alias("pos")), [*group, "pos"])
+    return g.Graph(v.select("id", "name"), edges.select("src", "dst"))
+
+
 def graph_s(spark, d) -> g.Graph:
     sup = number(table(spark, d, "supplier").select("s_suppkey", F.col("s_name").alias("name")), ["s_suppkey"])
     ids = sup.select("id", "s_suppkey")
@@ -84,14 +96,19 @@ SQL_H = f"""
 hp AS (SELECT page_id, array_to_string(list_reverse(string_split({_HOST}, '.')), '.') AS h FROM pages),
 hv AS (SELECT h AS name, row_number() OVER (ORDER BY h) - 1 AS id FROM (SELECT DISTINCT h FROM hp)),
 hl AS (SELECT x.page_id, x.h AS src_host, y.h AS dst_host FROM hp x JOIN hp y ON y.page_id = x.page_id + 1),
-he AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM hl JOIN hv a ON a.name = src_host JOIN hv b ON b.name = dst_host WHERE a.id <> b.id),
-h4 AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM hl JOIN hv a ON a.name = src_host JOIN hv b ON b.name = dst_host WHERE a.id <> b.id AND page_id % 4 = 0)"""
+he AS (SELECT DISTINCT a.id AS src, b.id AS dst FROM hl JOIN hv a ON a.name = src_host JOIN hv b ON b.name = dst_host WHERE a.id <> b.id)"""
 _TLD = "CASE p_partkey % 5 " + " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(TLDS)) + " END"
 SQL_P = f"""
 pk AS (SELECT p_partkey, {_TLD} || '.d' || CAST(p_partkey // 10 AS VARCHAR) || '.h' || CAST(p_partkey AS VARCHAR) AS name FROM part),
 pv AS (SELECT p_partkey, name, row_number() OVER (ORDER BY name) - 1 AS id FROM pk),
 pe AS (SELECT DISTINCT x.id AS src, y.id AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber
        JOIN pv x ON x.p_partkey = a.l_partkey JOIN pv y ON y.p_partkey = b.l_partkey WHERE x.id <> y.id)"""
+SQL_C = """
+cv AS (SELECT c_custkey, c_name AS name, row_number() OVER (ORDER BY c_custkey) - 1 AS id, c_nationkey AS n, c_mktsegment AS m,
+       row_number() OVER (PARTITION BY c_nationkey, c_mktsegment ORDER BY c_custkey) - 1 AS pos,
+       count(*) OVER (PARTITION BY c_nationkey, c_mktsegment) - 1 AS top FROM customer),
+ce AS (SELECT a.id AS src, b.id AS dst FROM cv a JOIN cv b ON a.n = b.n AND a.m = b.m
+       AND b.pos = CASE WHEN a.pos > 0 THEN a.pos // 2 WHEN a.m = 'BUILDING' AND a.top > 0 THEN a.top END)"""
 SQL_S = """
 sv AS (SELECT s_suppkey, s_name AS name, row_number() OVER (ORDER BY s_suppkey) - 1 AS id FROM supplier),
 se AS (SELECT DISTINCT x.id AS src, y.id AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber < b.l_linenumber
@@ -248,7 +265,7 @@ _DEG = """
 od AS (SELECT src AS id, count(*) AS outdegree FROM {e} GROUP BY src), idg AS (SELECT dst AS id, count(*) AS indegree FROM {e} GROUP BY dst),
 deg AS (SELECT v.id, v.name, coalesce(outdegree, 0) AS outdegree, coalesce(indegree, 0) AS indegree FROM {v} v LEFT JOIN od USING (id) LEFT JOIN idg USING (id))"""
 _PD = f"WITH {SQL_P}, {_DEG.format(v='pv', e='pe')}"
-_HD = f"WITH {SQL_H}, {_DEG.format(v='hv', e='h4')}"
+_HD = f"WITH {SQL_H}, {_DEG.format(v='hv', e='he')}"
 
 
 @query("a4_frequencies", f"WITH {SQL_H} SELECT h AS key, count(*) AS cnt FROM hp GROUP BY h")
@@ -263,7 +280,7 @@ def _(spark, d):
 
 @query("a6_degree_table", f"{_HD} SELECT outdegree, indegree, name FROM deg")
 def _(spark, d):
-    return stats.degree_table(graph_h(spark, d, 4))
+    return stats.degree_table(graph_h(spark, d))
 
 
 @query("a7_outdegree_distrib", f"{_PD} SELECT outdegree AS arcs, count(*) AS nodes FROM deg GROUP BY outdegree")
@@ -278,9 +295,9 @@ def _(spark, d):
 
 @query("a15_graph_stats", f"""{_HD} SELECT count(*) AS nodes, CAST(sum(outdegree) AS BIGINT) AS arcs, max(outdegree) AS maxoutdegree, max(indegree) AS maxindegree,
 avg(outdegree) AS avgoutdegree, avg(indegree) AS avgindegree, count(*) FILTER (outdegree = 0) AS dangling, count(*) FILTER (indegree = 0) AS sources,
-(SELECT count(*) FROM h4 WHERE src = dst) AS loops FROM deg""")
+(SELECT count(*) FROM he WHERE src = dst) AS loops FROM deg""")
 def _(spark, d):
-    return stats.graph_stats(graph_h(spark, d, 4))
+    return stats.graph_stats(graph_h(spark, d))
 
 
 _TOP = "{0} SELECT outdegree, indegree, name FROM deg WHERE {1} > 20 ORDER BY {1} DESC, concat_ws(chr(9), outdegree, indegree, name) LIMIT 100"
@@ -362,14 +379,14 @@ def _(spark, d):
     return p.tld_counts(p.edges.select(F.col("dst").alias("id")))
 
 
-@query("a11_merge_count", f"WITH {SQL_P} SELECT dst AS value, count(*) AS cnt FROM pe WHERE src < 50 GROUP BY dst")
+@query("a11_merge_count", f"WITH {SQL_P} SELECT dst AS value, count(*) AS cnt FROM pe GROUP BY dst")
 def _(spark, d):
-    return g.merge_count(graph_p(spark, d).edges.where("src < 50"), "dst")
+    return g.merge_count(graph_p(spark, d).edges, "dst")
 
 
-@query("x14_merged_values", f"WITH {SQL_P} SELECT dst AS value, count(*) AS cnt FROM pe WHERE src < 50 GROUP BY dst ORDER BY value OFFSET 10")
+@query("x14_merged_values", f"WITH {SQL_P} SELECT dst AS value, count(*) AS cnt FROM pe GROUP BY dst ORDER BY value OFFSET 10")
 def _(spark, d):
-    return g.merged_values(graph_p(spark, d).edges.where("src < 50"), "dst", skip=10)
+    return g.merged_values(graph_p(spark, d).edges, "dst", skip=10)
 
 
 def _some(spark, *ids: int) -> DataFrame:
@@ -403,9 +420,9 @@ def _(spark, d):
     return p.subgraph_metrics(p.vertices.where("id < 40").select("id"))
 
 
-@query("j6_label_to_id", f"WITH {SQL_P} SELECT p_partkey, name, id FROM pv WHERE p_partkey % 3 = 0")
+@query("j6_label_to_id", f"WITH {SQL_P} SELECT p_partkey, name, id FROM pv")
 def _(spark, d):
-    wanted = table(spark, d, "part").where("p_partkey % 3 = 0").select("p_partkey", part_name().alias("name"))
+    wanted = table(spark, d, "part").select("p_partkey", part_name().alias("name"))
     return graph_p(spark, d).ids_of(wanted)
 
 
@@ -458,7 +475,7 @@ def _(spark, d):
 
 @query("u7_merge_links", f"WITH {SQL_H} SELECT DISTINCT src_host, dst_host FROM hl")
 def _(spark, d):
-    return g.merge_links(page_links(spark, d), page_links(spark, d, 4))
+    return g.merge_links(page_links(spark, d), page_links(spark, d).select("src_host", "dst_host"))
 
 
 @query("g2_transpose", f"WITH {SQL_P} SELECT dst AS src, src AS dst FROM pe")
@@ -474,14 +491,14 @@ def _(spark, d):
 # --- algorithms -----------------------------------------------------------------------------
 
 _BFS = """
-RECURSIVE {h}, bfs(x, y, d) AS (SELECT id, id, 0 FROM hv UNION SELECT x, dst, d + 1 FROM bfs JOIN {e} ON src = y WHERE d < 60),
+RECURSIVE {h}, bfs(x, y, d) AS (SELECT id, id, 0 FROM {v} UNION SELECT x, dst, d + 1 FROM bfs JOIN {e} ON src = y WHERE d < 60),
 dist AS (SELECT x, y, min(d) AS d FROM bfs GROUP BY x, y)"""
 _HC = "hc AS (SELECT hv.id, CAST(coalesce(sum(1.0 / d), 0) AS FLOAT) AS hc FROM hv LEFT JOIN dist ON y = hv.id AND d > 0 GROUP BY hv.id)"
 
 
-@query("g4_harmonic", f"WITH {_BFS.format(h=SQL_H, e='h4')}, {_HC} SELECT id, round(CAST(hc AS DOUBLE), 4) AS hc FROM hc")
+@query("g4_harmonic", f"WITH {_BFS.format(h=SQL_H, e='he', v='hv')}, {_HC} SELECT id, round(CAST(hc AS DOUBLE), 4) AS hc FROM hc")
 def _(spark, d):
-    h = graph_h(spark, d, 4)
+    h = graph_h(spark, d)
     return rank.harmonic_exact(h.vertices, h.edges).select("id", F.round(F.col("hc").cast("double"), 4).alias("hc"))
 
 
@@ -502,46 +519,50 @@ r{k + 1} AS MATERIALIZED (SELECT base.id, 0.85 * (coalesce(s, 0) + (SELECT coale
 
 
 _UNIFORM = "1.0 / (SELECT n FROM nn)"
-_PR_H4 = pagerank_sql("hv", "h4", _UNIFORM, ITERATIONS)
+#: Rounds of the SQL: by far more than graph P needs for the tolerance.
+ITERATIONS, TOLERANCE = 30, 1e-10
 
 
-@query("g5_pagerank", f"WITH {SQL_P}, {pagerank_sql('pv', 'pe', _UNIFORM, 5)} SELECT id, round(pr, 9) AS pr FROM r5")
+@query("g5_pagerank", f"WITH {SQL_P}, {pagerank_sql('pv', 'pe', _UNIFORM, ITERATIONS)} SELECT id, round(pr, 9) AS pr FROM r{ITERATIONS}")
 def _(spark, d):
     p = graph_p(spark, d)
-    return rank.pagerank(p.vertices, p.edges, iterations=5).select("id", F.round("pr", 9).alias("pr"))
+    return rank.pagerank(p.vertices, p.edges, tolerance=TOLERANCE).select("id", F.round("pr", 9).alias("pr"))
+
+
+_PREFERRED = "CASE WHEN pv.id % 10 = 0 THEN 1.0 / (SELECT count(*) FROM pv WHERE id % 10 = 0) ELSE 0 END"
 
 
-@query("g6_personalized_pagerank", f"WITH {SQL_H}, {pagerank_sql('hv', 'h4', 'CASE WHEN hv.id % 10 = 0 THEN 1.0 / (SELECT count(*) FROM hv WHERE id % 10 = 0) ELSE 0 END', ITERATIONS)} SELECT id, round(pr, 9) AS pr FROM r{ITERATIONS}")
+@query("g6_personalized_pagerank", f"WITH {SQL_P}, {pagerank_sql('pv', 'pe', _PREFERRED, ITERATIONS)} SELECT id, round(pr, 9) AS pr FROM r{ITERATIONS}")
 def _(spark, d):
-    h = graph_h(spark, d, 4)
-    pref = preference.preference_vector(h.vertices, h.vertices.where("id % 10 = 0").select("name"))
+    p = graph_p(spark, d)
+    pref = preference.preference_vector(p.vertices, p.vertices.where("id % 10 = 0").select("name"))
     preference.check_stochastic(pref)
-    return rank.pagerank(h.vertices, h.edges, iterations=ITERATIONS, preference=pref).select("id", F.round("pr", 9).alias("pr"))
+    return rank.pagerank(p.vertices, p.edges, tolerance=TOLERANCE, preference=pref).select("id", F.round("pr", 9).alias("pr"))
 
 
-_WCC = f"""WITH {_BFS.format(h=SQL_H + ", both_ways AS (SELECT src, dst FROM h4 UNION SELECT dst, src FROM h4)", e='both_ways')},
+_WCC = f"""WITH {_BFS.format(h=SQL_C + ", both_ways AS (SELECT src, dst FROM ce UNION SELECT dst, src FROM ce)", e='both_ways', v='cv')},
 root AS (SELECT x AS id, min(y) AS root FROM dist GROUP BY x)"""
-_SCC = f"""WITH {_BFS.format(h=SQL_H, e='h4')},
+_SCC = f"""WITH {_BFS.format(h=SQL_C, e='ce', v='cv')},
 root AS (SELECT a.x AS id, min(a.y) AS root FROM dist a JOIN dist b ON a.x = b.y AND a.y = b.x GROUP BY a.x)"""
 _RENUMBER = """, cs AS (SELECT root, count(*) AS size FROM root GROUP BY root), cn AS (SELECT root, size, row_number() OVER (ORDER BY size DESC, root) - 1 AS comp FROM cs)"""
 
 
 @query("g7_wcc", f"{_WCC}{_RENUMBER} SELECT id, comp FROM root JOIN cn USING (root)")
 def _(spark, d):
-    h = graph_h(spark, d, 4)
-    return components.weak_components(h.vertices, h.edges)
+    c = graph_c(spark, d)
+    return components.weak_components(c.vertices, c.edges)
 
 
 @query("g8_scc", f"{_SCC}{_RENUMBER} SELECT id, comp FROM root JOIN cn USING (root)")
 def _(spark, d):
-    h = graph_h(spark, d, 4)
-    return components.strong_components(h.vertices, h.edges)
+    c = graph_c(spark, d)
+    return components.strong_components(c.vertices, c.edges)
 
 
-@query("a8_component_distrib", f"{_WCC}{_RENUMBER} SELECT count(*) AS freq, size, round(100.0 * size * count(*) / (SELECT count(*) FROM hv), 6) AS perc FROM cs GROUP BY size")
+@query("a8_component_distrib", f"{_WCC}{_RENUMBER} SELECT count(*) AS freq, size, round(100.0 * size * count(*) / (SELECT count(*) FROM cv), 6) AS perc FROM cs GROUP BY size")
 def _(spark, d):
-    h = graph_h(spark, d, 4)
-    found = components.size_distribution(components.weak_components(h.vertices, h.edges))
+    c = graph_c(spark, d)
+    found = components.size_distribution(components.weak_components(c.vertices, c.edges))
     return found.withColumn("perc", F.round("perc", 6))
 
 
@@ -574,14 +595,16 @@ def _(spark, d):
     return ranks.join_ranks(p.vertices, hc, pr)
 
 
-@query("j5_outer_join_ranks", f"""{_SC}, a AS (SELECT p AS harmonicc_pos, CAST(indegree / 8 AS FLOAT) AS harmonicc_val, name FROM deg JOIN hcp USING (id) WHERE id % 2 = 0),
-b AS (SELECT p AS pr_pos, outdegree / 64 AS pr_val, name FROM deg JOIN prp USING (id) WHERE id % 3 = 0)
+@query("j5_outer_join_ranks", f"""{_SC}, a AS (SELECT p AS harmonicc_pos, CAST(indegree / 8 AS FLOAT) AS harmonicc_val, name FROM deg JOIN hcp USING (id) WHERE indegree >= outdegree),
+b AS (SELECT p AS pr_pos, outdegree / 64 AS pr_val, name FROM deg JOIN prp USING (id) WHERE indegree <= outdegree)
 SELECT coalesce(CAST(harmonicc_pos AS VARCHAR), '---') AS harmonicc_pos, coalesce(CAST(pr_pos AS VARCHAR), '---') AS pr_pos, coalesce(a.name, b.name) AS host_rev FROM a FULL JOIN b ON a.name = b.name""")
 def _(spark, d):
     p, hc, pr = _scores(spark, d)
     a = ranks.position(hc.withColumnRenamed("hc", "harmonicc_val"), "harmonicc_val", "harmonicc_pos").join(p.vertices, "id")
     b = ranks.position(pr.withColumnRenamed("pr", "pr_val"), "pr_val", "pr_pos").join(p.vertices, "id")
-    left, right = a.where("id % 2 = 0").drop("id"), b.where("id % 3 = 0").drop("id")
+    deg = p.degrees()
+    left = a.join(deg.where("indegree >= outdegree").select("id"), "id", "left_semi").drop("id")
+    right = b.join(deg.where("indegree <= outdegree").select("id"), "id", "left_semi").drop("id")
     return ranks.rank_text(ranks.outer_join_ranks(left.union(left), right)).select("harmonicc_pos", "pr_pos", "host_rev")
 
 
@@ -595,10 +618,167 @@ def _(spark, d):
     return out
 
 
-@query("k10_component_lines", f"{_WCC}{_RENUMBER} SELECT count(*) AS freq, size, printf('%9.6f%%', 100.0 * size * count(*) / (SELECT count(*) FROM hv)) AS perc FROM cs GROUP BY size")
+@query("k10_component_lines", f"{_WCC}{_RENUMBER} SELECT count(*) AS freq, size, printf('%9.6f%%', 100.0 * size * count(*) / (SELECT count(*) FROM cv)) AS perc FROM cs GROUP BY size")
+def _(spark, d):
+    c = graph_c(spark, d)
+    return text.component_lines(components.size_distribution(components.weak_components(c.vertices, c.edges)))
+
+
+# --- round trips through files, and the rest of the explorer --------------------------------------
+
+
+def _file(spark, name: str) -> str:
+    return Scratch(spark, "catalog").path(name)
+
+
+@query("s1_k1_vertices_file", f"WITH {SQL_P} SELECT id, name FROM pv")
+def _(spark, d):
+    path = _file(spark, "vertices")
+    text.write_vertices(graph_p(spark, d).vertices, path)
+    return text.read_vertices(spark, path, partitions=4)
+
+
+@query("s2_k2_edges_file", f"WITH {SQL_P} SELECT src, dst FROM pe")
+def _(spark, d):
+    path, edges = _file(spark, "edges"), graph_p(spark, d).edges
+    text.write_edges(edges.union(edges), path)
+    return text.read_edges(spark, path)
+
+
+@query("s4_keyed_lines", f"WITH {SQL_P} SELECT id, name || chr(9) || p_partkey AS rest FROM pv")
+def _(spark, d):
+    path = _file(spark, "lines")
+    part = number(table(spark, d, "part").select("p_partkey", part_name().alias("name")), ["name"])
+    text.write_strings(part.select(F.concat_ws("\t", "id", "name", "p_partkey").alias("value")).union(part.select(F.lit("no key"))), path)
+    return text.read_keyed_lines(spark, path)
+
+
+@query("s6_malformed_lines", f"WITH {SQL_P} SELECT name AS value FROM pv")
+def _(spark, d):
+    path, p = _file(spark, "lines"), graph_p(spark, d)
+    text.write_strings(p.vertices.select(F.concat_ws("\t", "id", "name").alias("value")).union(p.vertices.select("name")), path)
+    return text.malformed_lines(spark, path)
+
+
+@query("s10_k8_graph_files", f"WITH {SQL_P} SELECT src, name, dst FROM pe JOIN pv ON pv.id = src")
+def _(spark, d):
+    path = _file(spark, "graph")
+    graph_p(spark, d).save(path)
+    found = g.Graph.load(spark, path)
+    return found.names_of(found.edges, "src").select("src", "name", "dst")
+
+
+@query("s11_k5_vertex_list", f"WITH {SQL_P} SELECT id, name FROM pv JOIN (SELECT DISTINCT dst FROM pe) ON dst = id")
+def _(spark, d):
+    path, p = _file(spark, "names"), graph_p(spark, d)
+    text.write_names(p, p.edges.select(F.col("dst").alias("id")).distinct(), path)
+    return text.load_vertices(p, path).select("id", "name")
+
+
+@query("s12_k6_names_file", f"WITH {SQL_H} SELECT h AS name FROM hp")
+def _(spark, d):
+    path = _file(spark, "names")
+    text.write_strings(page_names(spark, d).select(F.concat(F.lit(" "), "h").alias("value")).union(spark.createDataFrame([("  ",)], "value string")), path)
+    return text.read_names(spark, path)
+
+
+@query("k3_ranks_file", f"{_SC} SELECT CAST(hcp.p AS VARCHAR) AS harmonicc_pos, CAST(prp.p AS VARCHAR) AS pr_pos, name AS host_rev FROM deg JOIN hcp USING (id) JOIN prp USING (id) UNION ALL SELECT '#harmonicc_pos', '#pr_pos', '#host_rev'")
+def _(spark, d):
+    path, (p, hc, pr) = _file(spark, "ranks"), _scores(spark, d)
+    text.write_ranks(ranks.join_ranks(p.vertices, hc, pr).select("harmonicc_pos", "pr_pos", "host_rev"), path)
+    cols = F.split("value", "\t")
+    return spark.read.text([f"{path}/header", f"{path}/rows"]).select(*(cols[i].alias(c) for i, c in enumerate(("harmonicc_pos", "pr_pos", "host_rev"))))
+
+
+@query("k7_counts_file", f"WITH {SQL_P} SELECT CAST(count(*) AS VARCHAR) || chr(9) || split_part(name, '.', 1) AS value FROM pv GROUP BY split_part(name, '.', 1)")
+def _(spark, d):
+    path, p = _file(spark, "counts"), graph_p(spark, d)
+    text.write_counts(p.tld_counts(p.vertices.select("id")), path)
+    return spark.read.text(path)
+
+
+@query("k12_stats_lines", f"{_PD}, x AS (SELECT count(*) AS nodes, CAST(sum(outdegree) AS BIGINT) AS arcs, max(outdegree) AS o, max(indegree) AS i FROM deg) SELECT unnest(['nodes=' || nodes, 'arcs=' || arcs, 'maxoutdegree=' || o, 'maxindegree=' || i]) AS value FROM x")
+def _(spark, d):
+    path = _file(spark, "stats")
+    text.write_strings(text.stats_lines(stats.graph_stats(graph_p(spark, d)).select("nodes", "arcs", "maxoutdegree", "maxindegree")), path)
+    return spark.read.text(path)
+
+
+@query("s16_reuse_vertices", f"WITH {SQL_P} SELECT id, name FROM pv UNION ALL SELECT NULL, split_part(name, '.', 1) FROM pv GROUP BY ALL")
+def _(spark, d):
+    p = graph_p(spark, d)
+    some = p.vertices.select("name").union(p.vertices.select(names.top_level_domain(F.col("name")).alias("name")))
+    known, new = reuse_vertices(some, p.vertices)
+    return known.union(new.select(F.lit(None).cast("long").alias("id"), "name"))
+
+
+@query("r10_fold", f"""WITH {SQL_P}, dv AS (SELECT DISTINCT split_part(name, '.', 1) || '.' || split_part(name, '.', 2) AS name FROM pv),
+dn AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS id FROM dv), m AS (SELECT pv.id AS host, dn.id AS id FROM pv JOIN dn ON dn.name = split_part(pv.name, '.', 1) || '.' || split_part(pv.name, '.', 2))
+SELECT DISTINCT a.id AS src, b.id AS dst FROM pe JOIN m a ON a.host = src JOIN m b ON b.host = dst WHERE a.id <> b.id""")
+def _(spark, d):
+    p = graph_p(spark, d)
+    return fold.fold(p.vertices, p.edges)[1]
+
+
+#: A made-up rule list: a wildcard with an exception, a rule of two labels, and a private one.
+RULES = """// ===BEGIN ICANN DOMAINS===
+com
+net
+org
+*.de
+!d2.de
+fr
+d3.fr
+// ===END ICANN DOMAINS===
+// ===BEGIN PRIVATE DOMAINS===
+d4.com
+// ===END PRIVATE DOMAINS===
+"""
+_L = "string_split(name, '.')"
+_RULED = f"""WITH {SQL_P}, r AS (SELECT name, {_L} AS l, CASE WHEN {_L}[1] = 'de' AND {_L}[2] = 'd2' THEN 1 WHEN {_L}[1] = 'de' THEN 2
+WHEN {_L}[1] = 'fr' AND {_L}[2] = 'd3' THEN 2 {{0}} ELSE 1 END AS k FROM pv)
+SELECT name, array_to_string(list_slice(l, 1, k + 1), '.') AS domain FROM r"""
+
+
+@query("f2_rules", _RULED.format(""))
+def _(spark, d):
+    return suffixes.registered_domain(graph_p(spark, d).vertices.select("name"), "name", text=RULES)
+
+
+@query("f3_private_rules", _RULED.format(f"WHEN {_L}[1] = 'com' AND {_L}[2] = 'd4' THEN 2"))
+def _(spark, d):
+    return suffixes.registered_domain(graph_p(spark, d).vertices.select("name"), "name", private=True, text=RULES)
+
+
+@query("f10_absolute_links", f"SELECT page_id, {_HOST} AS host FROM pages UNION ALL SELECT page_id, 'own.example' FROM pages UNION ALL SELECT page_id, 'other.example' FROM pages")
+def _(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url")
+    links = pages.select("page_id", F.explode(F.array("url", F.lit("/a/b?c#d"), F.lit("//Other.example:80/x"))).alias("link"))
+    return links.select("page_id", names.link_host(F.col("link"), F.lit("own.example")).alias("host"))
+
+
+@query("a14_degrees_of_one", f"WITH {SQL_P}, a AS (SELECT id FROM pv WHERE name = '{{0}}') SELECT (SELECT count(*) FROM pe JOIN a ON id = src) AS outdegree, (SELECT count(*) FROM pe JOIN a ON id = dst) AS indegree".format("org.d0.h1"))
+def _(spark, d):
+    p = graph_p(spark, d)
+    v = "org.d0.h1"
+    return spark.createDataFrame([(p.outdegree(v), p.indegree(v))], "outdegree long, indegree long")
+
+
+@query("x5_tld_stream", f"WITH {SQL_P} SELECT split_part(v.name, '.', 1) AS tld FROM pe JOIN pv a ON a.id = src JOIN pv v ON v.id = dst WHERE a.name = 'org.d0.h1'")
+def _(spark, d):
+    return graph_p(spark, d).successor_top_level_domains("org.d0.h1")
+
+
+@query("x6_x9_explorer", f"WITH {SQL_P}, a AS (SELECT id, name FROM pv WHERE name = 'org.d0.h1') SELECT '#' || id || chr(9) || name AS pwn, (SELECT count(*) FROM pe WHERE src = a.id) AS n_ls, (SELECT count(*) FROM pe WHERE dst = a.id) AS n_sl FROM a")
+def _(spark, d):
+    e = Explorer(graph_p(spark, d))
+    e.cn("org.d0.h1")
+    return spark.createDataFrame([(e.pwn(), e.ls().count(), e.sl().count())], "pwn string, n_ls long, n_sl long")
+
+
+@query("x11_predecessor_listing", f"WITH {SQL_P}, p AS (SELECT v.id, v.name FROM pe JOIN pv a ON a.id = dst JOIN pv v ON v.id = src WHERE a.name = 'org.d0.h1'), n AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos FROM p) SELECT pos, pos || ': #' || id || chr(9) || name AS line FROM n")
 def _(spark, d):
-    h = graph_h(spark, d, 4)
-    return text.component_lines(components.size_distribution(components.weak_components(h.vertices, h.edges)))
+    return Explorer(graph_p(spark, d)).sl("org.d0.h1")
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkframe.plans.lineage import Scratch
@@ -13,17 +13,20 @@ from linkframe.plans.lineage import Scratch
 SMALL = 200_000
 
 
-def number(df: DataFrame, order: list, out_col: str = "id", first: int = 0, small: int = SMALL) -> DataFrame:
-    """df with ``out_col`` = first, first + 1, ... in the order of the given columns.
+def number(df: DataFrame, order: list, out_col: str = "id", first: int = 0, small: int = SMALL, written: bool = False) -> DataFrame:
+    """df with ``out_col`` = first, first + 1, ... in the order of the given columns.  ``written`` says that
+    reading df again costs nothing much.
 
     Few rows are numbered by one window.  Beyond that rows are dealt by ranges of the order;
     each range is numbered by itself and shifted by the sizes of those before.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
+    scratch = Scratch(df.sparkSession, "number")
+    if not written:
+        df = scratch.cut(df, "rows")  # computed once, whatever it takes
     rows = df.count()
     if rows <= small:
         return df.withColumn(out_col, F.row_number().over(Window.orderBy(*order)).cast("long") + (first - 1))
-    scratch = Scratch(df.sparkSession, "number")
     parts = max(2, math.ceil(rows / small))
     dealt = scratch.cut(df.repartitionByRange(parts, *order).withColumn("__lf_range", F.spark_partition_id()), "ranges")
     sizes = dealt.groupBy("__lf_range").count()
@@ -50,7 +53,8 @@ def reuse_vertices(names: DataFrame, known: DataFrame, name_col: str = "name") -
     return known.join(distinct, "name", "left_semi").select("id", "name"), distinct.join(known, "name", "left_anti")
 
 
-def out_of_order(df: DataFrame, id_col: str = "id", name_col: str = "name") -> DataFrame:
+def out_of_order(df: DataFrame, id_col: str = "id", name_col: str = "name", small: int = SMALL) -> DataFrame:
     """Rows whose name isn't strictly greater than that of the id before: none for a valid table."""
-    before: Column = F.lag(name_col).over(Window.orderBy(id_col))
-    return df.withColumn("previous", before).where(F.col("previous") >= F.col(name_col))
+    rows = number(df, [id_col], "__lf_pos", small=small)
+    before = rows.select((F.col("__lf_pos") + 1).alias("__lf_pos"), F.col(name_col).alias("previous"))
+    return rows.join(before, "__lf_pos").where(F.col("previous") >= F.col(name_col)).drop("__lf_pos")

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from linkframe.functions.names import vertex_text
+from linkframe.operators.enumerate import number
 from linkframe.operators.graph import Graph
 
 
@@ -35,8 +36,8 @@ class Vertex:
 
 def listing(vertices: DataFrame) -> DataFrame:
     """(pos, line): ``i: #id<tab>name`` of (id, name) rows, numbered from 0 by id."""
-    pos = F.row_number().over(Window.orderBy("id", "name")) - 1
-    return vertices.select(pos.alias("pos"), F.format_string("%d: %s", pos, vertex_text(F.col("id"), F.col("name"))).alias("line"))
+    rows = number(vertices, ["id", "name"], "pos")
+    return rows.select(F.col("pos").cast("int").alias("pos"), F.format_string("%d: %s", "pos", vertex_text(F.col("id"), F.col("name"))).alias("line"))
 
 
 class Explorer:

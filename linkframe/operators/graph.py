@@ -95,7 +95,8 @@ class Graph:
 
     def is_arc(self, pairs: DataFrame) -> DataFrame:
         """pairs(src, dst) with ``is_arc``."""
-        known = self.edges.select("src", "dst").distinct().withColumn("__lf_known", F.lit(True))
+        asked = pairs.select("src", "dst").distinct()
+        known = asked.join(self.edges.select("src", "dst"), ["src", "dst"], "left_semi").withColumn("__lf_known", F.lit(True))
         return pairs.join(known, ["src", "dst"], "left").withColumn("is_arc", F.coalesce("__lf_known", F.lit(False))).drop("__lf_known")
 
     def has_arc(self, a: int | str, b: int | str) -> bool:
