@@ -142,18 +142,23 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _W9 = "regexp_extract_all(" + LOWER.format("text") + ", '[a-z0-9]+')"
-_T9 = ", ".join(f"('{k}', '{v}')" for k, v in license_scan.TEMPLATES.items())
+_T9 = ", ".join(
+    "({}, {}, {})".format(*("'" + x.replace("'", "''") + "'" for x in (k, v, license_scan.IDENTITY.get(k, "")))) for k, v in license_scan.TEMPLATES.items()
+)
+_P9 = _W9.replace("text", "part")
 OP9_SQL = f"""
-WITH t AS (SELECT license, {_W9} AS w FROM (VALUES {_T9}) AS v(license, text)),
+WITH t AS (SELECT license, {_W9} AS w, {_P9} AS p FROM (VALUES {_T9}) AS v(license, text, part)),
+ps AS (SELECT DISTINCT license, array_to_string(list_slice(p, i, i + 2), ' ') AS s
+       FROM (SELECT *, unnest(range(1, len(p) - 1)) AS i FROM t)),
 ts AS (SELECT DISTINCT license, len(w) AS m, array_to_string(list_slice(w, i, i + 2), ' ') AS s
        FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM t)),
-known AS (SELECT license, count(*) AS n FROM ts GROUP BY license),
+known AS (SELECT license, count(*) AS n, count(ps.s) AS must FROM ts LEFT JOIN ps USING (license, s) GROUP BY license),
 ds AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 2), ' ') AS s
        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM (SELECT doc_id, {_W9} AS w FROM documents WHERE text IS NOT NULL))),
-hit AS (SELECT doc_id, license, m, i, s FROM ds JOIN ts USING (s)),
-run AS (SELECT a.doc_id, a.license, a.i, count(DISTINCT b.s) AS c
+hit AS (SELECT doc_id, license, m, i, s, ps.s AS part FROM ds JOIN ts USING (s) LEFT JOIN ps USING (license, s)),
+run AS (SELECT a.doc_id, a.license, a.i, count(DISTINCT b.s) AS c, count(DISTINCT b.part) AS held
         FROM hit a JOIN hit b ON a.doc_id = b.doc_id AND a.license = b.license AND b.i BETWEEN a.i AND a.i + a.m - 3 GROUP BY 1, 2, 3)
-SELECT doc_id, license, max(c / n) AS containment FROM run JOIN known USING (license) WHERE c / n >= 0.8 GROUP BY 1, 2
+SELECT doc_id, license, max(c / n) AS containment FROM run JOIN known USING (license) WHERE c / n >= 0.8 AND held = must GROUP BY 1, 2
 """
 
 

@@ -180,6 +180,47 @@ def test_license_scan(spark, rows):
     assert rows(license_scan.scan(docs, templates={"x": "two words", "y": None})) == rows(license_scan.scan(docs.limit(0))) == []
 
 
+def brute_licenses(text, containment=0.8):
+    """Every run of as many words as a template has, as sets of shingles."""
+    words, out = license_scan.template_words(text or ""), {}
+    sh = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    for name, template in license_scan.TEMPLATES.items():
+        w, p = license_scan.template_words(template), license_scan.template_words(license_scan.IDENTITY.get(name, ""))
+        known, must = {tuple(w[i : i + 3]) for i in range(len(w) - 2)}, {tuple(p[i : i + 3]) for i in range(len(p) - 2)}
+        assert must <= known
+        runs = [set(sh[i : i + len(w) - 2]) for i in range(max(1, len(sh) - len(w) + 3))]
+        shares = [len(known & r) / len(known) for r in runs if must <= r]
+        if shares and max(shares) >= containment:
+            out[name] = max(shares)
+    return out
+
+
+def test_licenses_match_brute_force(spark, rows):
+    rng = random.Random(8)
+    texts = [None, ""]
+    for template in license_scan.TEMPLATES.values():
+        w = template.split()
+        for edits in (0, 1, 2, max(1, len(w) // 20)):
+            v = list(w)
+            for _ in range(edits):
+                v[rng.randrange(len(v))] = "changed"
+            texts.append(" ".join([prose(rng, rng.randrange(60)), *v, prose(rng, rng.randrange(60))]))
+    texts.append(" . ".join(license_scan.TEMPLATES.values()) * 3)
+    want = sorted((i + 1, k, round(c, 9)) for i, t in enumerate(texts) for k, c in brute_licenses(t).items())
+    got = sorted((r[0], r[1], round(r[2], 9)) for r in rows(license_scan.scan(docs_of(spark, texts))))
+    assert got == want
+
+
+def test_license_versions_are_told_apart(spark, rows):
+    t = license_scan.TEMPLATES
+    texts = [
+        t["gpl-2.0-notice"], t["gpl-3.0-notice"].replace("3", "4"), t["mpl-2.0-header"].replace("2.0", "1.1"), t["lgpl-redistribute"],
+        t["cc-by-sa-4.0-notice"], t["cc-by-4.0-notice"].replace("4.0", "3.0"),
+    ]
+    got = [(i, k) for i, k, _ in rows(license_scan.scan(docs_of(spark, texts)))]
+    assert got == [(1, "gpl-2.0-notice"), (4, "lgpl-redistribute"), (5, "cc-by-sa-4.0-notice")]
+
+
 def test_anchors_cover_every_match():
     for share in (0.5, 0.8, 1.0):
         words = set(license_scan.anchors(license_scan.TEMPLATES, share))
@@ -187,6 +228,9 @@ def test_anchors_cover_every_match():
             w = license_scan.template_words(text)
             shingles = {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
             assert sum(not words & set(s) for s in shingles) < math.ceil(share * len(shingles))
+        identity = license_scan.IDENTITY
+        words = set(license_scan.anchors(license_scan.TEMPLATES, share, identity))
+        assert all(words & set(license_scan.template_words(x)) for x in identity.values())
 
 
 # --- mixing -----------------------------------------------------------------------------------
