@@ -46,7 +46,7 @@ COMMON = frozenset(("above", "under", "their", "other", "without", "whether", "i
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 Q, WINDOW, STRIDE, BANDS = 3, 12, 6, 32
 
-# Notices by which texts state their license, standard headers and whole license texts.
+# Notices by which texts state their license, standard headers, and short licenses (MIT whole, ISC and BSD without the last clauses).
 TEMPLATES = {
     "apache-2.0-notice": "Licensed under the Apache License, Version 2.0",
     "apache-2.0-header": "you may not use this file except in compliance with the License. You may obtain a copy of the License at",
