@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, html_content, license_scan, mixing, quality, sharding, signature_join, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, fingerprint, html_content, license_scan, mixing, quality, sharding, signature_join, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -187,6 +187,35 @@ FROM docs LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
 """
 
 
+def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(table(spark, sf_dir, "documents"), k=16, w=32)
+
+
+_ROLL = " + ".join(f"lead(CAST(unicode(ch) AS BIGINT), {j}, 0) OVER o * {pow(fingerprint.BASE, 15 - j, fingerprint.PRIME)}" for j in range(16))
+OP11_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+           coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER o) AS after,
+           coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id FROM documents WINDOW o AS (ORDER BY doc_id DESC)),
+e AS (SELECT *, substr(text, 1, n - n // 2) || substr(after, 1, n // 2) AS edited FROM d),
+t AS (SELECT doc_id, kind, CASE WHEN length(t) BETWEEN 1 AND 15 THEN rpad(t, 16, chr(0)) ELSE t END AS t
+      FROM (SELECT doc_id, 0 AS kind, text AS t FROM e UNION ALL SELECT doc_id, 1, edited FROM e)),
+c AS (SELECT doc_id, kind, length(t) AS n, unnest(string_split(t, '')) AS ch, unnest(range(0, length(t))) AS pos FROM t WHERE t <> ''),
+g AS (SELECT doc_id, kind, n, pos, ({_ROLL}) % {fingerprint.PRIME} AS h FROM c WINDOW o AS (PARTITION BY doc_id, kind ORDER BY pos)),
+m AS (SELECT doc_id, kind, n, pos, min(h * 4294967296 + (4294967295 - CAST(pos AS BIGINT))) OVER (PARTITION BY doc_id, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND 31 FOLLOWING) AS least
+      FROM g WHERE pos <= n - 16),
+k AS (SELECT DISTINCT doc_id, kind, 4294967295 - least % 4294967296 AS pos FROM m WHERE pos < greatest(1, n - 46)),
+x AS (SELECT doc_id, kind, pos, upper(ltrim(substr(md5(substr(t, CAST(pos + 1 AS BIGINT), 16)), 1, 15), '0')) AS hash FROM k JOIN t USING (doc_id, kind)),
+f AS (SELECT doc_id, kind, string_agg(pos || ':' || hash, ',' ORDER BY pos) AS f, list(DISTINCT hash) AS s FROM x GROUP BY doc_id, kind)
+SELECT e.doc_id, n AS n_chars, sha256(edited) AS edited_sha256, coalesce(a.f, '') AS fingerprint, coalesce(b.f, '') AS edited_fingerprint,
+       CASE WHEN a.s IS NULL AND b.s IS NULL THEN 1.0::DOUBLE WHEN a.s IS NULL OR b.s IS NULL THEN 0.0
+            ELSE len(list_intersect(a.s, b.s)) / (len(a.s) + len(b.s) - len(list_intersect(a.s, b.s))) END AS near_edited,
+       CASE WHEN a.s IS NULL AND c.s IS NULL THEN 1.0::DOUBLE WHEN a.s IS NULL OR c.s IS NULL THEN 0.0
+            ELSE len(list_intersect(a.s, c.s)) / (len(a.s) + len(c.s) - len(list_intersect(a.s, c.s))) END AS near_next
+FROM e LEFT JOIN f a ON a.doc_id = e.doc_id AND a.kind = 0 LEFT JOIN f b ON b.doc_id = e.doc_id AND b.kind = 1
+LEFT JOIN f c ON c.doc_id = e.next_id AND c.kind = 0
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
@@ -199,6 +228,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_html_content": op8_html_content,
         "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
+        "op11_winnowing": op11_winnowing,
     }
 
 
@@ -210,4 +240,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_signature_join": OP7_SQL,
         "op9_license_scan": OP9_SQL,
         "op10_benchmark_decontamination": OP10_SQL,
+        "op11_winnowing": OP11_SQL,
     }
