@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, fingerprint, html_content, license_scan, mixing, quality, sharding, signature_join, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, fingerprint, html_content, impact_index, license_scan, mixing, quality, sharding, signature_join, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -216,6 +216,28 @@ LEFT JOIN f c ON c.doc_id = e.next_id AND c.kind = 0
 """
 
 
+def op12_impact_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = impact_index.build(table(spark, sf_dir, "documents"))
+    return impact_index.search(index, table(spark, sf_dir, "benchmark"), k=20)
+
+
+_W12 = "regexp_extract_all(" + LOWER.format("text") + r", '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP12_SQL = f"""
+WITH d AS (SELECT doc_id, unnest({_W12}) AS term FROM documents WHERE text IS NOT NULL),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY ALL),
+len AS (SELECT doc_id, count(*) AS n FROM d GROUP BY doc_id),
+c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM len),
+df AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term, docs),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // total AS m FROM len, c),
+q AS (SELECT item_id, unnest({_W12}) AS term FROM benchmark WHERE text IS NOT NULL),
+qc AS (SELECT item_id, term, count(*) AS c FROM q GROUP BY ALL),
+s AS (SELECT item_id, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM qc JOIN tf USING (term) JOIN df USING (term) JOIN m USING (doc_id) GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 20
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
@@ -229,6 +251,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_license_scan": op9_license_scan,
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
         "op11_winnowing": op11_winnowing,
+        "op12_impact_search": op12_impact_search,
     }
 
 
@@ -241,4 +264,5 @@ def oracle_sql() -> dict[str, str]:
         "op9_license_scan": OP9_SQL,
         "op10_benchmark_decontamination": OP10_SQL,
         "op11_winnowing": OP11_SQL,
+        "op12_impact_search": OP12_SQL,
     }
