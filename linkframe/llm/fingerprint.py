@@ -1,17 +1,17 @@
 """Document fingerprints by winnowing, with DataFrame functions alone.
 
-A text's k-grams (k code points) get rolling polynomial hashes modulo a prime.  Of each window of w
-neighbouring k-grams the one of the smallest hash is kept, the rightmost of equal ones, with its position.
-Two texts that share a run of ``k + w - 1`` code points therefore keep a k-gram of it in common; a run
-shorter than k never counts.  The rolling hash only decides which k-grams stay; those that do are known
-by 60 bits of the MD5 of their characters.
-
-How it runs: a text is cut into pieces of PIECE window starts, each with the characters that its last window
-reaches into.  The hashes of all k-grams come by doubling (the hash of 2m characters from two of m), and so do
-the minima of all windows; both are array functions within the row, so memory beside the text is that of a
-piece and of what is kept (2 / (w + 1) of the positions).  Nothing is shuffled for a fingerprint.
-
-Defined cases: a null or empty text has an empty fingerprint; one shorter than k is padded with NUL to a
+A text's k-grams are the runs of k bytes of its UTF-8 form.  Their hash is the CRC-32, a polynomial hash over
+GF(2) such as rolling hashes are.  Of each window of w neighbouring k-grams the one of the smallest hash is
+kept, the rightmost of equal ones, with its position.  Two texts that share a run of ``k + w - 1`` bytes
+therefore keep a k-gram of it in common; a run shorter than k never counts.  The CRC only decides which k-grams
+stay; those that do are known by 60 bits of their MD5.
+
+How it runs: a text is cut into pieces of PIECE window starts, each with the bytes that its last window
+reaches into.  The minima of all windows of a piece come by doubling (those of 2m k-grams from two of m), as
+array functions within the row, so memory beside the text is that of a piece and of what is kept (2 / (w + 1)
+of the positions).  Nothing is shuffled for a fingerprint.
+
+Defined cases: a null or empty text has an empty fingerprint; one shorter than k bytes is padded with NUL to a
 single k-gram; one of fewer than w k-grams is one window.  Equal texts have equal fingerprints, repeated rows
 stay repeated.  Texts of any length are read whole.  Columns of the input stay, whatever their names; empty
 tables give empty results.
@@ -27,63 +27,75 @@ from pyspark.sql import functions as F
 
 from linkframe.plans.lineage import Scratch
 
-PRIME, BASE = 2147483647, 1000003
-#: Window starts a piece; a piece and its overlap have fewer than SLOTS characters.
-PIECE, SLOTS = 512, 4096
+#: Window starts a piece; a piece and its overlap have fewer than 2**SHIFT bytes.
+PIECE, SHIFT = 512, 12
 #: Text bytes that a range of neighbouring documents should have.
-RANGE_BYTES = 32 << 20
+RANGE_BYTES = 16 << 20
 _ALL = 1 << 30
 
-TYPE = "array<struct<pos:int,hash:bigint>>"
-
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     """use(value), with value computed once."""
     return F.element_at(F.transform(F.array(value), lambda x: use(x)), 1)
 
 
-def _doubled(a: Column, n: int, join: Callable[[int], Callable[[Column, Column], Column]]) -> Column:
-    """Every entry joined with the n - 1 after it, for n a power of two; join(m) joins two runs of m."""
+def _bytes(text: Column, k: int) -> Column:
+    """The text's bytes, padded to k of them if there are any."""
+    data = F.coalesce(text, F.lit("")).cast("binary")
+    short = (F.octet_length(text) > 0) & (F.octet_length(text) < k)
+    return F.when(short, F.substring(F.concat(data, F.lit(bytes(k))), 1, k)).otherwise(data)
+
+
+def _kept(data: Column, at: Column, windows: Column, k: int, w: int) -> Column:
+    """What the windows of a piece keep: data from its first k-gram, the text's position ``at``, on."""
+    grams = F.sequence(F.lit(1), F.octet_length(data) - F.lit(k - 1))
+    # The smallest hash, then the largest position.
+    least = F.transform(grams, lambda i: F.shiftleft(F.crc32(F.substring(data, i, F.lit(k))), SHIFT) - i)
     m = 1
-    while m < n:
-        a = _let(a, (lambda m: lambda x: F.zip_with(x, F.slice(x, m + 1, _ALL), join(m)))(m))
+    while m < w:  # entries beyond the end are null, which least() passes over
+        least = _let(least, (lambda m: lambda x: F.zip_with(x, F.slice(x, m + 1, _ALL), lambda a, b: F.least(a, b)))(m))
         m *= 2
-    return a
 
+    def named(x: Column) -> Column:
+        i = F.pmod(-x, F.lit(1 << SHIFT)).cast("int")
+        name = F.conv(F.substring(F.md5(F.substring(data, i, F.lit(k))), 1, 15), 16, 10)
+        return F.struct((at + i - 1).cast("int").alias("pos"), name.cast("long").alias("hash"))
 
-def _piece(text: Column, at: Column, windows: Column, k: int, w: int) -> Column:
-    """What the windows that start in the piece at window ``at`` keep."""
-    codes = F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("long"))
-    hashes = _doubled(codes, k, lambda m: lambda x, y: (x * F.lit(pow(BASE, m, PRIME)) + y) % F.lit(PRIME))
-    # The smallest hash, then the largest position; entries beyond the last k-gram are null, which least() passes over.
-    keyed = F.transform(hashes, lambda h, i: h * F.lit(SLOTS) + (F.lit(SLOTS - 1) - i))
-    least = F.slice(_doubled(keyed, w, lambda m: lambda x, y: F.least(x, y)), 1, F.least(F.lit(PIECE), windows - at).cast("int"))
+    return F.transform(F.array_distinct(F.slice(least, 1, windows)), named)
 
-    def kept(x: Column) -> Column:
-        local = (F.lit(SLOTS - 1) - x % F.lit(SLOTS)).cast("int")
-        name = F.conv(F.substring(F.md5(F.substring(text, local + 1, F.lit(k)).cast("binary")), 1, 15), 16, 10)
-        return F.struct((at + local).cast("int").alias("pos"), name.cast("long").alias("hash"))
 
-    return F.transform(F.array_distinct(least), kept)
+def _pieces(text: Column, k: int, w: int, first: Column | int = 0) -> Column:
+    """What each piece of the text keeps, from piece ``first`` on."""
+    reach, first = k + w - 2, F.lit(first) if isinstance(first, int) else first
 
+    def of(data: Column) -> Column:
+        size = F.octet_length(data)
+        windows = F.greatest(F.lit(1), size - F.lit(reach))
+        last = F.floor((windows - 1) / F.lit(PIECE)).cast("int")
 
-def fingerprint(text: Column, k: int = 16, w: int = 32) -> Column:
-    """The fingerprint of a text: array of (pos, hash), by position.  k and w are powers of two up to 256."""
-    if any(x < 1 or x > 256 or x & (x - 1) for x in (k, w)):
-        raise ValueError("k and w must be powers of two up to 256")
-    full = F.coalesce(text, F.lit(""))
-    size = F.length(full)
-    padded = F.when((size > 0) & (size < k), F.rpad(full, k, "\0")).otherwise(full)
-    windows = F.greatest(F.lit(1), F.length(padded) - F.lit(k + w - 2))
+        def piece(i: Column) -> Column:
+            at = i * F.lit(PIECE)
+            return _let(F.substring(data, at + 1, F.lit(PIECE + reach)), lambda x: _kept(x, at, F.least(F.lit(PIECE), windows - at), k, w))
+
+        return F.when((size > 0) & (first <= last), F.transform(F.sequence(first, last), piece)).otherwise(F.array())
+
+    return _let(_bytes(text, k), of)
 
-    def of(pieces: Column) -> Column:
-        started = F.slice(pieces, F.lit(1), F.ceil(windows / F.lit(PIECE)).cast("int"))
-        reach = lambda i: F.substring(F.coalesce(F.get(pieces, i + 1), F.lit("")), 1, k + w - 2)
-        kept = F.flatten(F.transform(started, lambda c, i: _piece(F.concat(c, reach(i)), i * F.lit(PIECE), windows, k, w)))
-        # The first window of a piece may keep what the last one before it kept.
-        return _let(kept, lambda x: F.filter(x, lambda e, i: (i == 0) | (e["pos"] != F.get(x, i - 1)["pos"])))
 
-    return _let(F.regexp_extract_all(padded, F.lit("(?s).{1,%d}" % PIECE), F.lit(0)), of)
+def _joined(pieces: Column) -> Column:
+    """One fingerprint of the pieces; a piece's first window may keep what the last one before it kept."""
+    return _let(F.flatten(pieces), lambda x: F.filter(x, lambda e, i: (i == 0) | (e["pos"] != F.get(x, i - 1)["pos"])))
+
+
+def _checked(k: int, w: int) -> None:
+    if not 1 <= k <= 256 or not 1 <= w <= 256 or w & (w - 1):
+        raise ValueError("k must be from 1 to 256, and w one of 1, 2, 4, ... 256")
+
+
+def fingerprint(text: Column, k: int = 16, w: int = 32) -> Column:
+    """The fingerprint of a text: array of (pos, hash), by position in bytes."""
+    _checked(k, w)
+    return _joined(_pieces(text, k, w))
 
 
 def add_fingerprints(docs: DataFrame, text_col: str = "text", out_col: str = "fingerprint", k: int = 16, w: int = 32) -> DataFrame:
@@ -125,7 +137,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     scratch = Scratch(spark, "fingerprint")
     rows = docs.select(F.col(id_col).alias("__lf_id"), F.coalesce(text_col, F.lit("")).alias("__lf_text"))
     size = rows.agg(F.sum(F.octet_length("__lf_text"))).head()[0] or 0
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(size / RANGE_BYTES))
+    parts = max(4 * spark.sparkContext.defaultParallelism, math.ceil(size / RANGE_BYTES))
     rows = rows.select("*", F.col("__lf_id").isNull().alias("__lf_none"), F.bitwise_not("__lf_id").alias("__lf_down"), F.xxhash64("__lf_text").alias("__lf_tie"))
     key = ["__lf_none", "__lf_down", "__lf_tie"]
     rows = scratch.cut(rows.repartitionByRange(parts, *key).withColumn("__lf_range", F.spark_partition_id()), "ranges")
@@ -135,23 +147,27 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ranges = ranges.select("__lf_range", F.coalesce(before, F.max("__lf_range").over(Window.partitionBy())).alias("__lf_host"))
     guests = first.join(ranges, "__lf_range").select("f.*", F.col("__lf_host").alias("__lf_range"), F.lit(True).alias("__lf_guest"))
     both = rows.withColumn("__lf_guest", F.lit(False)).unionByName(guests)
-    return both, ["__lf_guest", *key]
+    # A task a range: what follows takes far longer than the exchange, so small ranges aren't put together.
+    return both.repartitionByRange(parts, "__lf_range"), ["__lf_guest", *key]
 
 
 def edited_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 16, w: int = 32) -> DataFrame:
     """(id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next): each text, the text whose
     last half is taken from the beginning of the next document, and how much their fingerprints have in common."""
+    _checked(k, w)
     both, order = with_next(docs, id_col, text_col)
     follow = Window.partitionBy("__lf_range").orderBy(*order)
     n = F.length("__lf_text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substring(F.col("__lf_text"), F.lit(1), n - half), F.substring(F.coalesce(F.lead("__lf_text").over(follow), F.lit("")), F.lit(1), half))
+    own = F.substring(F.col("__lf_text"), F.lit(1), n - half)
+    edited = F.concat(own, F.substring(F.coalesce(F.lead("__lf_text").over(follow), F.lit("")), F.lit(1), half))
     kept = ["__lf_id", "__lf_range", *order]
-    two = both.select(*kept, n.cast("long").alias("n_chars"), "__lf_text", edited.alias("__lf_edited"))
-    made = two.select(
-        *kept, "n_chars", F.sha2("__lf_edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("__lf_text"), k, w).alias("__lf_own"), fingerprint(F.col("__lf_edited"), k, w).alias("__lf_other"),
-    )
+    # Pieces that end, with their reach, in the half that stays are the same in both texts.
+    same = F.greatest(F.lit(0), F.floor((F.octet_length(own) - F.lit(k + w - 2)) / F.lit(PIECE)).cast("int"))
+    two = both.select(*kept, n.cast("long").alias("n_chars"), "__lf_text", edited.alias("__lf_edited"), same.alias("__lf_same"))
+    two = two.select(*kept, "n_chars", F.sha2("__lf_edited", 256).alias("edited_sha256"), "__lf_edited", "__lf_same", _pieces(F.col("__lf_text"), k, w).alias("__lf_pieces"))
+    rest = F.concat(F.slice("__lf_pieces", F.lit(1), F.col("__lf_same")), _pieces(F.col("__lf_edited"), k, w, F.col("__lf_same")))
+    made = two.select(*kept, "n_chars", "edited_sha256", _joined(F.col("__lf_pieces")).alias("__lf_own"), _joined(rest).alias("__lf_other"))
     seen = made.withColumn("__lf_next", F.lead("__lf_own").over(follow)).where("NOT __lf_guest")
     return seen.select(
         F.col("__lf_id").alias(id_col), "n_chars", "edited_sha256", as_text(F.col("__lf_own")).alias("fingerprint"), as_text(F.col("__lf_other")).alias("edited_fingerprint"),

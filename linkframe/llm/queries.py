@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -191,20 +192,25 @@ def op11_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.edited_pairs(table(spark, sf_dir, "documents"), k=16, w=32)
 
 
-_ROLL = " + ".join(f"lead(CAST(unicode(ch) AS BIGINT), {j}, 0) OVER o * {pow(fingerprint.BASE, 15 - j, fingerprint.PRIME)}" for j in range(16))
+_ZERO = zlib.crc32(bytes(16))
+#: What byte b at place j of a 16-gram adds (XOR) to the CRC-32 of 16 NULs.
+_TABLES = [[zlib.crc32(bytes(j) + bytes((b,)) + bytes(15 - j)) ^ _ZERO for b in range(256)] for j in range(16)]
+_CRC = str(_ZERO)
+for _j, _t in enumerate(_TABLES):
+    _CRC = f"xor({_CRC}, list_extract({_t}::BIGINT[], lead(b, {_j}, 0) OVER o + 1))"
 OP11_SQL = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
            coalesce(lead(coalesce(text, '')) OVER o, first_value(coalesce(text, '')) OVER o) AS after,
            coalesce(lead(doc_id) OVER o, first_value(doc_id) OVER o) AS next_id FROM documents WINDOW o AS (ORDER BY doc_id DESC)),
 e AS (SELECT *, substr(text, 1, n - n // 2) || substr(after, 1, n // 2) AS edited FROM d),
-t AS (SELECT doc_id, kind, CASE WHEN length(t) BETWEEN 1 AND 15 THEN rpad(t, 16, chr(0)) ELSE t END AS t
+t AS (SELECT doc_id, kind, CASE WHEN t = '' THEN '' ELSE rpad(hex(t), CAST(greatest(32, length(hex(t))) AS INTEGER), '0') END AS t
       FROM (SELECT doc_id, 0 AS kind, text AS t FROM e UNION ALL SELECT doc_id, 1, edited FROM e)),
-c AS (SELECT doc_id, kind, length(t) AS n, unnest(string_split(t, '')) AS ch, unnest(range(0, length(t))) AS pos FROM t WHERE t <> ''),
-g AS (SELECT doc_id, kind, n, pos, ({_ROLL}) % {fingerprint.PRIME} AS h FROM c WINDOW o AS (PARTITION BY doc_id, kind ORDER BY pos)),
-m AS (SELECT doc_id, kind, n, pos, min(h * 4294967296 + (4294967295 - CAST(pos AS BIGINT))) OVER (PARTITION BY doc_id, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND 31 FOLLOWING) AS least
+c AS (SELECT doc_id, kind, length(t) // 2 AS n, CAST('0x' || unnest(regexp_extract_all(t, '..')) AS BIGINT) AS b, unnest(range(0, length(t) // 2)) AS pos FROM t WHERE t <> ''),
+g AS (SELECT doc_id, kind, n, pos, {_CRC} AS h FROM c WINDOW o AS (PARTITION BY doc_id, kind ORDER BY pos)),
+m AS (SELECT doc_id, kind, n, pos, min(CAST(h AS HUGEINT) * 4294967296 + (4294967295 - pos)) OVER (PARTITION BY doc_id, kind ORDER BY pos ROWS BETWEEN CURRENT ROW AND 31 FOLLOWING) AS least
       FROM g WHERE pos <= n - 16),
 k AS (SELECT DISTINCT doc_id, kind, 4294967295 - least % 4294967296 AS pos FROM m WHERE pos < greatest(1, n - 46)),
-x AS (SELECT doc_id, kind, pos, upper(ltrim(substr(md5(substr(t, CAST(pos + 1 AS BIGINT), 16)), 1, 15), '0')) AS hash FROM k JOIN t USING (doc_id, kind)),
+x AS (SELECT doc_id, kind, pos, upper(ltrim(substr(md5(unhex(substr(t, CAST(2 * pos + 1 AS BIGINT), 32))), 1, 15), '0')) AS hash FROM k JOIN t USING (doc_id, kind)),
 f AS (SELECT doc_id, kind, string_agg(pos || ':' || hash, ',' ORDER BY pos) AS f, list(DISTINCT hash) AS s FROM x GROUP BY doc_id, kind)
 SELECT e.doc_id, n AS n_chars, sha256(edited) AS edited_sha256, coalesce(a.f, '') AS fingerprint, coalesce(b.f, '') AS edited_fingerprint,
        CASE WHEN a.s IS NULL AND b.s IS NULL THEN 1.0::DOUBLE WHEN a.s IS NULL OR b.s IS NULL THEN 0.0

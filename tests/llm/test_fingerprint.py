@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import zlib
 
 from pyspark.sql import functions as F
 
@@ -10,16 +11,16 @@ from linkframe.llm import fingerprint as fp
 
 def literal(text, k=16, w=32):
     """[(pos, hash)] of a text, window by window."""
-    text = text or ""
-    if text and len(text) < k:
-        text = text.ljust(k, "\0")
-    grams = [text[i : i + k] for i in range(len(text) - k + 1)]
-    rolled = [sum(ord(c) * pow(fp.BASE, k - 1 - j, fp.PRIME) for j, c in enumerate(g)) % fp.PRIME for g in grams]
+    data = (text or "").encode()
+    if data and len(data) < k:
+        data = data.ljust(k, b"\0")
+    grams = [data[i : i + k] for i in range(len(data) - k + 1)]
+    hashed = [zlib.crc32(g) for g in grams]
     out = set()
     for i in range(max(1, len(grams) - w + 1) if grams else 0):
         span = range(i, min(i + w, len(grams)))
-        out.add(min(span, key=lambda j: (rolled[j], -j)))
-    return [(p, int(hashlib.md5(grams[p].encode()).hexdigest()[:15], 16)) for p in sorted(out)]
+        out.add(min(span, key=lambda j: (hashed[j], -j)))
+    return [(p, int(hashlib.md5(grams[p]).hexdigest()[:15], 16)) for p in sorted(out)]
 
 
 def texts():
