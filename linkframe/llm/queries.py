@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkframe.llm import arc_to_warc, decontamination, fingerprint, html_content, impact_index, license_scan, mixing, quality, sharding, signature_join, topk_search, toxicity
+from linkframe.llm import arc_to_warc, decontamination, fingerprint, html_content, impact_index, license_scan, mixing, quality, sharding, signature_join, spelling, topk_search, toxicity
 
 LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -244,6 +244,31 @@ SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <
 """
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = f"""
+WITH RECURSIVE tab AS (SELECT list_transform(range(0, 256), lambda i: list_reduce([i] || [0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)) AS t),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS doc_id, unnest(regexp_extract_all({LOWER.format("text")}, '[a-z\u00C0-\u00FF]+')) AS run
+         FROM documents WHERE text IS NOT NULL) GROUP BY ALL),
+h AS (SELECT run, n, length(run) AS size, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(doc_id || ':' || run, ''),
+         lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)), lambda a, x: xor(t[(xor(a, x) & 255) + 1], a >> 8))) AS h FROM runs, tab),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n
+          FROM (SELECT n, CASE WHEN h % 97 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word FROM h)
+          WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS short FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (SELECT a.word, b.word AS near FROM cut a JOIN cut b ON a.short = b.short AND a.i = b.i AND a.word <> b.word
+          UNION SELECT word, short FROM cut WHERE short IN (SELECT word FROM words)
+          UNION SELECT short, word FROM cut WHERE short IN (SELECT word FROM words)),
+best AS (SELECT p.word, count(*) AS n_near, arg_min(w.word, (-w.n, w.word)) AS near, max(w.n) AS near_n FROM pairs p JOIN words w ON w.word = p.near GROUP BY p.word),
+forms AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n FROM words LEFT JOIN best USING (word)),
+way AS (SELECT word, word AS root FROM forms UNION ALL SELECT w.word, f.form FROM way w JOIN forms f ON f.word = w.root WHERE f.form IS NOT NULL),
+ends AS (SELECT w.word, w.root FROM way w JOIN forms f ON f.word = w.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_arc_to_warc": op1_arc_to_warc,
@@ -258,6 +283,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_benchmark_decontamination": op10_benchmark_decontamination,
         "op11_winnowing": op11_winnowing,
         "op12_impact_search": op12_impact_search,
+        "op13_spelling_variants": op13_spelling_variants,
     }
 
 
@@ -271,4 +297,5 @@ def oracle_sql() -> dict[str, str]:
         "op10_benchmark_decontamination": OP10_SQL,
         "op11_winnowing": OP11_SQL,
         "op12_impact_search": OP12_SQL,
+        "op13_spelling_variants": OP13_SQL,
     }
