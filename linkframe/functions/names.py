@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -51,5 +51,27 @@ def normalize_host(host: Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(host), r"^\.+|\.+$", ""))
 
 
+def _to_ascii(hosts):
+    """``xn--`` forms of a pandas series; null where there is none."""
+
+    def one(host):
+        try:
+            return host.encode("idna").decode().lower()
+        except UnicodeError:
+            return None
+
+    return hosts.map(one)
+
+
+def ascii_hosts(df: DataFrame, col: str) -> DataFrame:
+    """df with the host names of a column in ASCII; null where a name has no such form.  Only names beyond ASCII are
+    mapped, each once: the others never leave the JVM."""
+    other = F.col(col).rlike(r"[^\x00-\x7F]")
+    to_ascii = F.pandas_udf(_to_ascii, "string")
+    known = df.where(other).select(F.col(col).alias("__lf_host")).distinct().withColumn("__lf_ascii", to_ascii("__lf_host"))
+    out = df.join(known, F.col(col) == F.col("__lf_host"), "left")
+    return out.withColumn(col, F.when(other, F.col("__lf_ascii")).otherwise(F.col(col))).drop("__lf_host", "__lf_ascii")
+
+
 def vertex_text(id_: Column, label: Column) -> Column:
     return F.format_string("#%d\t%s", id_, label)

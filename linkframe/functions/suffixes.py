@@ -81,3 +81,15 @@ def registered_domain(df: DataFrame, rev_name: str, out_col: str = "domain", pri
 def is_public_suffix(df: DataFrame, rev_name: str, out_col: str = "is_suffix", private: bool = False, text: str | None = None) -> DataFrame:
     n = F.size(F.split(F.col(rev_name), r"\."))
     return suffix_length(df, rev_name, private, text).withColumn(out_col, F.coalesce(F.col("suffix_labels") == n, F.lit(False))).drop("suffix_labels")
+
+
+def top_level_domains(spark: SparkSession, text: str | None = None) -> DataFrame:
+    """(tld): the last labels of all rules of the list, in ASCII and as written; some thousands at most."""
+    rules = parse_rules(list_text(spark) if text is None else text, private=False)
+    return spark.createDataFrame([(t,) for t in sorted({r.split(".")[0] for r in rules})], "tld string")
+
+
+def with_known_tld(df: DataFrame, host_col: str, text: str | None = None) -> DataFrame:
+    """Rows whose host ends in a top-level domain of the list."""
+    known = top_level_domains(df.sparkSession, text).select(F.col("tld").alias("__lf_tld"))
+    return df.join(F.broadcast(known), F.substring_index(host_col, ".", -1) == F.col("__lf_tld"), "left_semi")

@@ -54,7 +54,24 @@ def reuse_vertices(names: DataFrame, known: DataFrame, name_col: str = "name") -
 
 
 def out_of_order(df: DataFrame, id_col: str = "id", name_col: str = "name", small: int = SMALL) -> DataFrame:
-    """Rows whose name isn't strictly greater than that of the id before: none for a valid table."""
-    rows = number(df, [id_col], "__lf_pos", small=small)
-    before = rows.select((F.col("__lf_pos") + 1).alias("__lf_pos"), F.col(name_col).alias("previous"))
-    return rows.join(before, "__lf_pos").where(F.col("previous") >= F.col(name_col)).drop("__lf_pos")
+    """Rows whose name isn't strictly greater than that of the id before (``previous``): none for a valid table.
+
+    Rows are dealt by ranges of ids and compared within each; what stands before the first row of a range is the last row
+    of the range before, one row a range.
+    """
+    scratch = Scratch(df.sparkSession, "order")
+    rows, n = scratch.measured(df, "rows", n=F.count("*"))
+    parts = max(1, math.ceil(n["n"] / small))
+    dealt = scratch.cut(rows.repartitionByRange(parts, id_col).withColumn("__lf_range", F.spark_partition_id()), "ranges")
+    order = F.struct(id_col, name_col)
+    ends = dealt.groupBy("__lf_range").agg(F.max(order)[name_col].alias("__lf_last"))
+    ends = ends.select("__lf_range", F.lag("__lf_last").over(Window.orderBy("__lf_range")).alias("__lf_before"))  # one row a range
+    within = F.lag(name_col).over(Window.partitionBy("__lf_range").orderBy(id_col, name_col))
+    out = dealt.withColumn("previous", within).join(F.broadcast(ends), "__lf_range")
+    out = out.withColumn("previous", F.coalesce("previous", "__lf_before")).drop("__lf_range", "__lf_before")
+    return out.where(F.col("previous") >= F.col(name_col))
+
+
+def page(df: DataFrame, order: list, n: int, offset: int = 0) -> DataFrame:
+    """n rows in an order, after the first ``offset``: Spark keeps only that many a partition."""
+    return df.orderBy(*order).offset(offset).limit(n)

@@ -1,7 +1,12 @@
 """Queries on one directed graph of (id, name) vertices and (src, dst) edges.
 
-Every method is lazy and takes an id, a name, or a DataFrame of ids.  Unknown names and ids
-give empty results.  Neighbours come in id order where a method returns rows for one vertex.
+Methods take an id, a name, or a DataFrame of ids.  Unknown names and ids give empty results.  Neighbours come
+in id order where a method returns rows for one vertex.
+
+A name is looked up when a method is called (one row), so that edges are filtered by a constant id that reaches the
+scan.  Ids are in name order, so names of one prefix are an interval of ids: its bounds are looked up too, and
+neighbours are filtered by them in the scan of edges that are sorted by (src, dst).  Where the ids of a
+table are not in name order, the prefix itself is checked as well.
 """
 
 from __future__ import annotations
@@ -13,24 +18,33 @@ from pyspark.sql import functions as F
 
 from linkframe.functions.names import top_level_domain
 from linkframe.operators.stats import frequencies
+from linkframe.plans.lineage import Scratch
+
+
+#: Intervals of ids that top-level domains are looked up by.
+BINS = 4096
 
 
 class Graph:
-    def __init__(self, vertices: DataFrame, edges: DataFrame):
+    def __init__(self, vertices: DataFrame, edges: DataFrame, domains: DataFrame | None = None):
+        """domains is what ``domain_intervals`` makes of the vertices, if it is there already."""
         self.vertices, self.edges = vertices, edges
         self.spark: SparkSession = vertices.sparkSession
+        self._domains = domains
 
     # --- storage -----------------------------------------------------------------------
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> Graph:
-        """A graph from path/vertices and path/edges."""
-        return cls(spark.read.parquet(f"{path}/vertices"), spark.read.parquet(f"{path}/edges"))
+        """A graph from path/vertices, path/edges and path/domains."""
+        return cls(*(spark.read.parquet(f"{path}/{t}") for t in ("vertices", "edges", "domains")))
 
     def save(self, path: str) -> None:
-        """Vertices sorted by name and edges by (src, dst), so prefix and id filters skip row groups."""
+        """Vertices sorted by name and edges by (src, dst), so prefix and id filters skip row groups; intervals of
+        top-level domains beside them."""
         self.vertices.orderBy("name").write.option("compression", "zstd").parquet(f"{path}/vertices")
         self.edges.orderBy("src", "dst").write.option("compression", "zstd").parquet(f"{path}/edges")
+        domain_intervals(self.spark.read.parquet(f"{path}/vertices")).write.parquet(f"{path}/domains")
 
     def transposed(self) -> Graph:
         return Graph(self.vertices, self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
@@ -52,11 +66,28 @@ class Graph:
         """The (id, name) row of a vertex, if there is one."""
         return self.vertices.where(F.col("name") == v if isinstance(v, str) else F.col("id") == v).select("id", "name")
 
+    def id_of(self, v: int | str) -> int:
+        """The id of a name; -1, which no vertex has, if there is none."""
+        if not isinstance(v, str):
+            return v
+        row = self.vertex(v).head()
+        return row["id"] if row else -1
+
     def _at(self, v: int | str, side: str) -> DataFrame:
         """Edges whose ``side`` is the vertex."""
-        if isinstance(v, str):
-            return self.edges.join(F.broadcast(self.vertex(v).select(F.col("id").alias(side))), side)  # one row
-        return self.edges.where(F.col(side) == v)
+        return self.edges.where(F.col(side) == self.id_of(v))
+
+    def interval(self, prefix: str) -> tuple[int, int, bool]:
+        """(first id, last id, whether all between them are) of the names of a prefix; (0, -1, True) if there are none."""
+        found = self.vertices.where(F.col("name").startswith(prefix))
+        first, last, n = found.agg(F.min("id"), F.max("id"), F.count("*")).head()
+        return (first, last, last - first + 1 == n) if n else (0, -1, True)
+
+    def domains(self) -> DataFrame:
+        """(tld, first, last, n): intervals of ids by top-level domain, computed once a graph."""
+        if self._domains is None:
+            self._domains = Scratch(self.spark, "graph").cut(domain_intervals(self.vertices), "domains")
+        return self._domains
 
     # --- neighbours --------------------------------------------------------------------
 
@@ -74,14 +105,30 @@ class Graph:
         return self._at(v, "dst").select(F.col("src").alias("id")).orderBy("id")
 
     def _named(self, ids: DataFrame, prefix: str | None) -> DataFrame:
-        names = self.vertices if prefix is None else self.vertices.where(F.col("name").startswith(prefix))
-        return ids.join(names.select("id", "name"), "id").orderBy("id")
+        names = self.vertices.select("id", "name")
+        if prefix is not None:
+            first, last, whole = self.interval(prefix)
+            ids, names = ids.where(F.col("id").between(first, last)), names.where(F.col("id").between(first, last))
+            names = names if whole else names.where(F.col("name").startswith(prefix))
+        return ids.join(names, "id").orderBy("id")
+
+    def _top_level_domains(self, ids: DataFrame) -> DataFrame:
+        """ids(id) with ``tld``, by the interval that each falls into: no name is read."""
+        known, top = self.domains(), F.max("last")
+        last, apart = known.agg(top, F.count_if(F.col("last") - F.col("first") + 1 != F.col("n"))).head()
+        if apart:  # ids aren't in name order
+            return self.names_of(ids).select("id", top_level_domain(F.col("name")).alias("tld"))
+        width = max(1, (last or 0) // BINS)
+        bins = F.explode(F.sequence(F.floor(F.col("first") / width), F.floor(F.col("last") / width)))
+        binned = known.select("tld", "first", "last", bins.alias("__lf_bin"))  # at most BINS rows more than intervals
+        rows = ids.withColumn("__lf_bin", F.floor(F.col("id") / width)).join(binned, "__lf_bin")
+        return rows.where(F.col("id").between(F.col("first"), F.col("last"))).select("id", "tld")
 
     def successor_top_level_domains(self, v: int | str) -> DataFrame:
-        return self.successors(v).select(top_level_domain(F.col("name")).alias("tld"))
+        return self._top_level_domains(self._at(v, "src").select(F.col("dst").alias("id"))).select("tld")
 
     def predecessor_top_level_domains(self, v: int | str) -> DataFrame:
-        return self.predecessors(v).select(top_level_domain(F.col("name")).alias("tld"))
+        return self._top_level_domains(self._at(v, "dst").select(F.col("src").alias("id"))).select("tld")
 
     def successor_tld_counts(self, v: int | str) -> DataFrame:
         return frequencies(self.successor_top_level_domains(v), "tld")
@@ -91,7 +138,7 @@ class Graph:
 
     def tld_counts(self, ids: DataFrame, id_col: str = "id") -> DataFrame:
         """(key, cnt) of the top-level domains of any ids, duplicates counted."""
-        return frequencies(self.names_of(ids, id_col).select(top_level_domain(F.col("name")).alias("tld")), "tld")
+        return frequencies(self._top_level_domains(ids.select(F.col(id_col).alias("id"))), "tld")
 
     def is_arc(self, pairs: DataFrame) -> DataFrame:
         """pairs(src, dst) with ``is_arc``."""
@@ -100,19 +147,17 @@ class Graph:
         return pairs.join(known, ["src", "dst"], "left").withColumn("is_arc", F.coalesce("__lf_known", F.lit(False))).drop("__lf_known")
 
     def has_arc(self, a: int | str, b: int | str) -> bool:
-        edges = self._at(a, "src")
-        target = self.vertex(b).select(F.col("id").alias("dst")) if isinstance(b, str) else None
-        found = edges.join(F.broadcast(target), "dst") if target is not None else edges.where(F.col("dst") == b)
-        return not found.limit(1).isEmpty()
+        return not self._at(a, "src").where(F.col("dst") == self.id_of(b)).limit(1).isEmpty()
 
     # --- degrees -----------------------------------------------------------------------
 
     def degrees(self) -> DataFrame:
-        """(id, outdegree, indegree) of every vertex, zeros included."""
-        out = self.edges.groupBy(F.col("src").alias("id")).agg(F.count("*").alias("outdegree"))
-        in_ = self.edges.groupBy(F.col("dst").alias("id")).agg(F.count("*").alias("indegree"))
+        """(id, outdegree, indegree) of every vertex, zeros included, from one pass over the edges."""
+        end = lambda c, o, i: F.struct(F.col(c).alias("id"), F.lit(o).alias("o"), F.lit(i).alias("i"))
+        ends = self.edges.select(F.explode(F.array(end("src", 1, 0), end("dst", 0, 1))).alias("x")).select("x.*")
+        found = ends.groupBy("id").agg(F.sum("o").alias("outdegree"), F.sum("i").alias("indegree"))
         zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-        return self.vertices.select("id").join(out, "id", "left").join(in_, "id", "left").select("id", zero("outdegree"), zero("indegree"))
+        return self.vertices.select("id").join(found, "id", "left").select("id", zero("outdegree"), zero("indegree"))
 
     def outdegree(self, v: int | str) -> int:
         return self._at(v, "src").count()
@@ -170,6 +215,15 @@ class Graph:
         )
 
 
+def domain_intervals(vertices: DataFrame) -> DataFrame:
+    """(tld, first, last, n) of (id, name): a name without a dot is an interval of its own, as others may come between
+    it and the names under it."""
+    dotted = F.instr("name", ".") > 0
+    own = F.when(~dotted, F.col("id")).otherwise(F.lit(-1))
+    by = vertices.groupBy(top_level_domain(F.col("name")).alias("tld"), own.alias("own"))
+    return by.agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("n")).drop("own")
+
+
 def merge_count(lists: DataFrame, value_col: str) -> DataFrame:
     """(value, cnt): how often each value comes in the lists, repeats counted."""
     return lists.groupBy(F.col(value_col).alias("value")).agg(F.count("*").alias("cnt"))

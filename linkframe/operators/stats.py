@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linkframe.plans.lineage import Scratch
+from linkframe.sources import text
+
 
 def frequencies(df: DataFrame, key: str) -> DataFrame:
     """(key, cnt), by count downwards, then by key."""
@@ -22,6 +25,18 @@ def degree_distribution(degrees: DataFrame, col: str) -> DataFrame:
     return degrees.groupBy(F.col(col).alias("arcs")).agg(F.count("*").alias("nodes"))
 
 
+def degree_outputs(graph, path: str, more_than: int = 1000, n: int = 10_000, gzip: bool = True) -> DataFrame:
+    """Writes path/outdegree-indegree, path/top-outdegree, path/top-indegree, path/outdegree-distribution and
+    path/indegree-distribution, and returns the degree table.  Edges are read once: the table is written as Parquet
+    and feeds all five."""
+    table = Scratch(graph.spark, "degrees").cut(degree_table(graph), "degrees")
+    text.write_table(table, f"{path}/outdegree-indegree", gzip)
+    for col in ("outdegree", "indegree"):
+        text.write_table(top_by_degree(table, col, more_than, n), f"{path}/top-{col}", gzip)
+        text.write_table(degree_distribution(table, col).orderBy("arcs"), f"{path}/{col}-distribution", gzip)
+    return table
+
+
 def _line(cols: list[str]) -> Column:
     return F.concat_ws("\t", *(F.col(c).cast("string") for c in cols))
 

@@ -18,7 +18,7 @@ import threading
 import uuid
 import weakref
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -98,7 +98,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_dir(spark)}/linkframe/{name}-{uuid.uuid4().hex}"
-        self._n = 0
+        self._n, self._tables = 0, {}
         small_batches(spark)
         _at_exit(spark, self.root)
 
@@ -115,6 +115,26 @@ class Scratch:
         out._scratch_path = path
         return out
 
+    def measured(self, df: DataFrame, name: str = "t", **figures: Column) -> tuple[DataFrame, dict]:
+        """cut, and aggregates of df taken while it is written."""
+        seen = Observation()
+        out = self.cut(df.observe(seen, *(c.alias(k) for k, c in figures.items())), name)
+        return out, seen.get
+
+    def bucketed(self, df: DataFrame, key: str, buckets: int, parts: list[str] | None = None) -> str:
+        """The name of a table of df in buckets of ``key``, one file a bucket: joins by the key shuffle only the other
+        side.  ``drop_table`` removes it."""
+        name, path = f"linkframe_{uuid.uuid4().hex}", self.path("buckets")
+        with shuffles_deleted(self.spark):
+            out = df.repartition(buckets, key).write.option("path", path).option("compression", "zstd").bucketBy(buckets, key).sortBy(key)
+            (out.partitionBy(*parts) if parts else out).saveAsTable(name)
+        self._tables[name] = path
+        return name
+
+    def drop_table(self, name: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+        _delete(self.spark, self._tables.pop(name))
+
     def drop(self, *dfs: DataFrame) -> None:
         for df in dfs:
             if path := getattr(df, "_scratch_path", None):

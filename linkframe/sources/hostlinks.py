@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkframe import schemas
-from linkframe.functions.names import is_valid_host, link_host, normalize_host, reverse_host, url_host
-from linkframe.operators.enumerate import reuse_vertices, vertices
+from linkframe.functions.names import ascii_hosts, is_valid_host, link_host, normalize_host, reverse_host, url_host
+from linkframe.functions.suffixes import with_known_tld
+from linkframe.operators.enumerate import number, reuse_vertices, vertices
 
 _HREF = r"""(?is)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]+)"""
 
@@ -44,17 +45,26 @@ def read_links(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.schema(schemas.HOST_LINKS).parquet(*paths)
 
 
-def valid_links(links: DataFrame, normalize: bool = False) -> DataFrame:
-    """Links whose two hosts are valid names, normalised first if asked for."""
-    fix = normalize_host if normalize else (lambda c: c)
-    out = links.select(fix(F.col("src_host")).alias("src_host"), fix(F.col("dst_host")).alias("dst_host"))
-    return out.where(is_valid_host(F.col("src_host")) & is_valid_host(F.col("dst_host")))
+def valid_links(links: DataFrame, normalize: bool = False, known_tlds: bool = False, suffix_text: str | None = None) -> DataFrame:
+    """Links whose two hosts are valid names, normalised first if asked for (non-ASCII labels to their ``xn--`` form);
+    with ``known_tlds`` their top-level domains must be those of the suffix list."""
+    out = links.select("src_host", "dst_host")
+    if normalize:
+        out = out.select(normalize_host(F.col("src_host")).alias("src_host"), normalize_host(F.col("dst_host")).alias("dst_host"))
+        for c in out.columns:
+            out = ascii_hosts(out, c)
+    out = out.where(is_valid_host(F.col("src_host")) & is_valid_host(F.col("dst_host")))
+    if known_tlds:
+        for c in ("src_host", "dst_host"):
+            out = with_known_tld(out, c, suffix_text)
+    return out
 
 
 def input_batches(paths: DataFrame, most: int = 64_000, seed: int = 1, path_col: str = "path") -> DataFrame:
-    """paths with ``batch``, at most about ``most`` paths each, in random order."""
-    n = max(1, -(-paths.count() // most))
-    return paths.withColumn("batch", F.pmod(F.xxhash64(F.lit(seed), path_col), F.lit(n)))
+    """paths with ``batch``: a seeded random permutation cut every ``most`` paths, so that no batch is larger and all
+    but the last are full.  The same seed gives the same batches, whatever the order and partitions of paths."""
+    dealt = number(paths, [F.xxhash64(F.lit(seed), path_col), F.col(path_col)], "__lf_place")
+    return dealt.withColumn("batch", F.floor(F.col("__lf_place") / most)).drop("__lf_place")
 
 
 def union_inputs(*lists: DataFrame) -> DataFrame:

@@ -1,8 +1,8 @@
 """Host links that arrive while a crawl runs.
 
-A stream of page files becomes a growing folder of distinct host links: each micro-batch is
-extracted, made distinct and freed of links that are there already.  Batches are written to
-a folder of their own, so a batch that is run again replaces itself.
+A stream of page files becomes a growing set of distinct host links: each micro-batch is extracted and
+added to a ``LinkStore`` under its number, so a batch that is run again changes nothing, and only buckets that get
+new links are written.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from linkframe import schemas
+from linkframe.plans.crawls import LinkStore
 from linkframe.sources.hostlinks import extract_links
 
 
@@ -18,16 +18,11 @@ def stream_links(spark: SparkSession, pages_path: str, schema, out: str, checkpo
     """Starts the stream; with ``available_now`` it ends once all files have been read."""
 
     def add(batch: DataFrame, number: int) -> None:
-        new = extract_links(batch).distinct()
-        done = [f"{out}/batch={k}" for k in range(number)]
-        if done:
-            known = batch.sparkSession.read.schema(schemas.HOST_LINKS).parquet(*done)
-            new = new.join(known, ["src_host", "dst_host"], "left_anti")
-        new.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        LinkStore(batch.sparkSession, out).add(f"batch-{number}", extract_links(batch))
 
     writer = spark.readStream.schema(schema).parquet(pages_path).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")).start()
 
 
 def read_stream_links(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(schemas.HOST_LINKS).parquet(f"{out}/batch=*")
+    return LinkStore(spark, out).links()

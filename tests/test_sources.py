@@ -6,6 +6,7 @@ import struct
 import pytest
 
 from linkframe.operators import components, graph
+from linkframe.plans.crawls import LinkStore
 from linkframe.plans.workflow import Stopped, Workflow, check_name, partition_counts, rank_graph
 from linkframe.sources import hostlinks, text, vectors
 from linkframe.streaming import links as stream
@@ -45,12 +46,12 @@ def test_lists(spark, tmp_path, rows):
 
 @pytest.mark.parametrize("kind", ["float", "double", "int"])
 def test_vectors(spark, tmp_path, kind):
-    code, _, _ = vectors.KINDS[kind]
+    code = {"float": ">f", "double": ">d", "int": ">i"}[kind]
     values = [3, 0, -2, 7, 5]
     (tmp_path / "in").write_bytes(b"".join(struct.pack(code, v) for v in values))
     df = vectors.read_vector(spark, str(tmp_path / "in"), kind, "x")
     assert [r["x"] for r in df.orderBy("id").collect()] == values
-    vectors.write_vector(df, str(tmp_path / "out"), kind, "x", chunk=2)
+    vectors.write_vector(df, str(tmp_path / "out"), kind, "x")
     assert (tmp_path / "out").read_bytes() == (tmp_path / "in").read_bytes()
     assert vectors.vector_text(df, "x").count() == 5
 
@@ -71,7 +72,9 @@ def test_host_links(spark, rows):
     odd = spark.createDataFrame([("A.com.", "b.org"), ("-x.com", "b.org"), ("1.2.3.4", "b.org")], "src_host string, dst_host string")
     assert rows(hostlinks.valid_links(odd, normalize=True)) == [("a.com", "b.org")]
     paths = hostlinks.union_inputs(*[spark.createDataFrame([(f"p{k}{i}",) for i in range(50)], "path string") for k in "ab"])
-    assert hostlinks.input_batches(paths, most=30).groupBy("batch").count().count() == 4
+    dealt = hostlinks.input_batches(paths, most=30)
+    assert rows(dealt.groupBy("batch").count()) == [(0, 30), (1, 30), (2, 30), (3, 10)] and dealt.select("path").distinct().count() == 100
+    assert rows(dealt) == rows(hostlinks.input_batches(paths.repartition(7), most=30)) != rows(hostlinks.input_batches(paths, most=30, seed=2))
 
 
 def test_workflow(spark, tmp_path):
@@ -111,3 +114,4 @@ def test_stream(spark, tmp_path, rows):
         pages.write.mode("append").parquet(src)
         stream.stream_links(spark, src, pages.schema, out, state).awaitTermination(120)
     assert rows(stream.read_stream_links(spark, out)) == [("a.com", "b.org")]
+    assert LinkStore(spark, out).crawls() == ["batch-0", "batch-1"]
