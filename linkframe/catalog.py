@@ -12,18 +12,22 @@ Graphs (see FIXTURES.md):
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from linkframe.__main__ import main
 from linkframe.functions import names, suffixes
 from linkframe.operators import components, fold, preference, rank, ranks, stats
 from linkframe.operators import graph as g
-from linkframe.operators.enumerate import number, out_of_order, reuse_vertices, vertices
-from linkframe.operators.explore import Explorer, listing
+
+from linkframe.operators.enumerate import number, out_of_order, page, reuse_vertices, vertices
+from linkframe.operators.explore import Explorer, listing, shortcuts
+from linkframe.plans.crawls import LinkStore
 from linkframe.plans.lineage import Scratch
-from linkframe.sources import hostlinks, text
+from linkframe.plans.report import Report
+from linkframe.sources import hostlinks, text, vectors
 
 TLDS = ["com", "org", "net", "de", "fr"]
 
@@ -502,10 +506,24 @@ def _(spark, d):
     return rank.harmonic_exact(h.vertices, h.edges).select("id", F.round(F.col("hc").cast("double"), 4).alias("hc"))
 
 
-@query("g4_harmonic_hll")
+#: Three standard errors of a ball's size, with sketches of 4096 registers.
+HLL_ERROR = 3 * 1.04 / 64
+
+
+@query("g4_harmonic_hll", f"WITH {_BFS.format(h=SQL_C, e='ce', v='cv')}, hc AS (SELECT cv.id, coalesce(sum(1.0 / d), 0) AS hc FROM cv LEFT JOIN dist ON y = cv.id AND d > 0 GROUP BY cv.id) SELECT id, round(CAST(hc AS DOUBLE), 4) AS exact, TRUE AS within FROM hc")
 def _(spark, d):
-    h = graph_h(spark, d)
-    return rank.harmonic_sketched(h.vertices, h.edges)
+    """The sketched values against the exact ones: within their error."""
+    c = graph_c(spark, d)
+    exact = rank.harmonic_exact(c.vertices, c.edges)
+    near = rank.harmonic_sketched(c.vertices, c.edges).select("id", F.col("hc").alias("near"))
+    bound = HLL_ERROR * F.greatest(F.col("hc"), F.lit(1.0))
+    return exact.join(near, "id").select("id", F.round(F.col("hc").cast("double"), 4).alias("exact"), (F.abs(F.col("near") - F.col("hc")) <= bound).alias("within"))
+
+
+@query("w3_harmonic_rank", f"WITH {_BFS.format(h=SQL_C, e='ce', v='cv')}, hc AS (SELECT cv.id, round(coalesce(sum(1.0::DOUBLE / d), 0), 4) AS hc FROM cv LEFT JOIN dist ON y = cv.id AND d > 0 GROUP BY cv.id) SELECT id, hc, row_number() OVER (ORDER BY hc DESC, id) AS pos FROM hc")
+def _(spark, d):
+    c = graph_c(spark, d)
+    return ranks.position(rank.harmonic_exact(c.vertices, c.edges).select("id", F.round(F.col("hc").cast("double"), 4).alias("hc")), "hc", "pos")
 
 
 def pagerank_sql(v: str, e: str, pref: str, rounds: int) -> str:
@@ -759,9 +777,7 @@ def _(spark, d):
 
 @query("a14_degrees_of_one", f"WITH {SQL_P}, a AS (SELECT id FROM pv WHERE name = '{{0}}') SELECT (SELECT count(*) FROM pe JOIN a ON id = src) AS outdegree, (SELECT count(*) FROM pe JOIN a ON id = dst) AS indegree".format("org.d0.h1"))
 def _(spark, d):
-    p = graph_p(spark, d)
-    v = "org.d0.h1"
-    return spark.createDataFrame([(p.outdegree(v), p.indegree(v))], "outdegree long, indegree long")
+    return graph_p(spark, d).degrees_of("org.d0.h1")
 
 
 @query("x5_tld_stream", f"WITH {SQL_P} SELECT split_part(v.name, '.', 1) AS tld FROM pe JOIN pv a ON a.id = src JOIN pv v ON v.id = dst WHERE a.name = 'org.d0.h1'")
@@ -772,8 +788,10 @@ def _(spark, d):
 @query("x6_x9_explorer", f"WITH {SQL_P}, a AS (SELECT id, name FROM pv WHERE name = 'org.d0.h1') SELECT '#' || id || chr(9) || name AS pwn, (SELECT count(*) FROM pe WHERE src = a.id) AS n_ls, (SELECT count(*) FROM pe WHERE dst = a.id) AS n_sl FROM a")
 def _(spark, d):
     e = Explorer(graph_p(spark, d))
-    e.cn("org.d0.h1")
-    return spark.createDataFrame([(e.pwn(), e.ls().count(), e.sl().count())], "pwn string, n_ls long, n_sl long")
+    here = e.cn("org.d0.h1")
+    at = e.graph.vertices.where(F.col("id") == here.id).select(F.lit(0).alias("k"), names.vertex_text(F.col("id"), F.col("name")).alias("pwn"))
+    n_ls, n_sl = (x.agg(F.count("*").alias(n)).withColumn("k", F.lit(0)) for x, n in ((e.ls(), "n_ls"), (e.sl(), "n_sl")))
+    return at.join(n_ls, "k").join(n_sl, "k").drop("k")  # three single rows
 
 
 @query("x11_predecessor_listing", f"WITH {SQL_P}, p AS (SELECT v.id, v.name FROM pe JOIN pv a ON a.id = dst JOIN pv v ON v.id = src WHERE a.name = 'org.d0.h1'), n AS (SELECT *, row_number() OVER (ORDER BY id) - 1 AS pos FROM p) SELECT pos, pos || ': #' || id || chr(9) || name AS line FROM n")
@@ -781,6 +799,208 @@ def _(spark, d):
     return Explorer(graph_p(spark, d)).sl("org.d0.h1")
 
 
+# --- vectors, single files, reports, crawls --------------------------------------------------------
+
+
+def _vector(spark, d, kind: str, value: F.Column) -> DataFrame:
+    """A vector of graph P written as a binary file and read back."""
+    path = _file(spark, "vector")
+    deg = graph_p(spark, d).degrees().select("id", value.alias("value"))
+    vectors.write_vector(deg, path, kind, "value")
+    return vectors.read_vector(spark, path, kind, "value")
+
+
+@query("s7_float_vector", f"{_PD} SELECT id, CAST(indegree / 8 AS FLOAT) AS value FROM deg")
+def _(spark, d):
+    return _vector(spark, d, "float", F.col("indegree") / 8)
+
+
+@query("s8_double_vector", f"{_PD} SELECT id, outdegree / 64 AS value FROM deg")
+def _(spark, d):
+    return _vector(spark, d, "double", F.col("outdegree") / 64)
+
+
+@query("s9_int_vector_text", f"{_PD} SELECT CAST(id AS INTEGER) AS pos, CAST(outdegree AS VARCHAR) AS line FROM deg")
+def _(spark, d):
+    path = _file(spark, "numbers") + ".gz"
+    text.write_one(vectors.vector_text(_vector(spark, d, "int", F.col("outdegree")), "value"), path)
+    return _numbered(spark, path)
+
+
+def _numbered(spark, path: str) -> DataFrame:
+    """(pos, line) of one file: its order as well as its lines."""
+    lines = F.posexplode(F.split(F.regexp_replace("value", r"\n\z", ""), "\n"))
+    return spark.read.text(path, wholetext=True).select(lines).toDF("pos", "line")
+
+
+@query("k4_preference_file", f"WITH {SQL_P}, k AS (SELECT count(*) AS n FROM pv WHERE id % 9 = 0) SELECT id, CASE WHEN id % 9 = 0 THEN 1.0 / n ELSE 0 END AS pref FROM pv, k")
+def _(spark, d):
+    path, p = _file(spark, "preference"), graph_p(spark, d)
+    vectors.write_vector(preference.preference_vector(p.vertices, p.vertices.where("id % 9 = 0").select("name")), path, "double", "pref")
+    return vectors.read_vector(spark, path, "double", "pref")
+
+
+@query("s5_vertices_with_more_columns", f"WITH {SQL_P} SELECT id, name FROM pv")
+def _(spark, d):
+    path = _file(spark, "vertices")
+    text.write_strings(graph_p(spark, d).vertices.select(F.concat_ws("\t", "id", "name", F.lit("more"), F.lit("fields")).alias("value")), path)
+    return text.read_vertices(spark, path)
+
+
+@query("o1_k9_edges_in_one_file", f"WITH {SQL_P} SELECT CAST(row_number() OVER (ORDER BY src, dst) - 1 AS INTEGER) AS pos, src || chr(9) || dst AS line FROM pe")
+def _(spark, d):
+    path = _file(spark, "edges") + ".gz"
+    text.write_edges(graph_p(spark, d).edges, path, one=True)
+    return _numbered(spark, path)
+
+
+@query("o2_k3_ranks_in_one_file", f"""{_SC}, r AS (SELECT hcp.p AS pos, hcp.p || chr(9) || prp.p || chr(9) || name AS line FROM deg JOIN hcp USING (id) JOIN prp USING (id)
+UNION ALL SELECT 0, '#harmonicc_pos' || chr(9) || '#pr_pos' || chr(9) || '#host_rev') SELECT CAST(pos AS INTEGER) AS pos, line FROM r""")
+def _(spark, d):
+    path, (p, hc, pr) = _file(spark, "ranks") + ".gz", _scores(spark, d)
+    text.write_ranks(ranks.join_ranks(p.vertices, hc, pr).select("harmonicc_pos", "pr_pos", "host_rev"), path, one=True)
+    return _numbered(spark, path)
+
+
+@query("o4_o5_counts_in_order", f"WITH {SQL_P}, c AS (SELECT split_part(v.name, '.', 1) AS key, count(*) AS cnt FROM pe JOIN pv v ON v.id = dst GROUP BY 1) SELECT CAST(row_number() OVER (ORDER BY cnt DESC, key) - 1 AS INTEGER) AS pos, key || chr(9) || cnt AS line FROM c")
+def _(spark, d):
+    path, p = _file(spark, "counts"), graph_p(spark, d)
+    text.write_one(p.tld_counts(p.edges.select(F.col("dst").alias("id"))), path, gzip=False)
+    return _numbered(spark, path)
+
+
+@query("o6_page_of_vertices", f"WITH {SQL_P} SELECT id, name FROM pv ORDER BY name DESC LIMIT 25 OFFSET 40")
+def _(spark, d):
+    return page(graph_p(spark, d).vertices, [F.desc("name")], 25, 40)
+
+
+@query("k11_degree_outputs", f"""{_PD}, t AS (SELECT outdegree AS o, indegree AS i, outdegree || chr(9) || indegree || chr(9) || name AS line FROM deg),
+top_o AS (SELECT line FROM t WHERE o > 20 ORDER BY o DESC, line LIMIT 100), top_i AS (SELECT line FROM t WHERE i > 20 ORDER BY i DESC, line LIMIT 100)
+SELECT 'outdegree-indegree' AS output, line FROM t UNION ALL SELECT 'top-outdegree', line FROM top_o UNION ALL SELECT 'top-indegree', line FROM top_i
+UNION ALL SELECT 'outdegree-distribution', o || chr(9) || count(*) FROM t GROUP BY o UNION ALL SELECT 'indegree-distribution', i || chr(9) || count(*) FROM t GROUP BY i""")
+def _(spark, d):
+    path = _file(spark, "degrees")
+    stats.degree_outputs(graph_p(spark, d), path, 20, 100)
+    out = [spark.read.text(f"{path}/{n}/rows").select(F.lit(n).alias("output"), F.col("value").alias("line")) for n in stats.OUTPUTS]
+    return reduce(DataFrame.union, out)
+
+
+@query("r11_fold_report", f"""WITH {SQL_P}, {_FOLD.format(v='pv', e='pe')}, m AS (SELECT a.domain_id AS s, b.domain_id AS t FROM pe JOIN dm a ON a.host_id = src JOIN dm b ON b.host_id = dst)
+SELECT 'out_edges.written' AS figure, (SELECT count(*) FROM de) AS value UNION ALL SELECT 'mapped.edges', (SELECT count(*) FROM m) UNION ALL SELECT 'mapped.loops', (SELECT count(*) FROM m WHERE s = t)
+UNION ALL SELECT 'host_edges.read', (SELECT count(*) FROM pe) UNION ALL SELECT 'hosts.read', (SELECT count(*) FROM pv) UNION ALL SELECT 'hosts.without_domain', 0""")
+def _(spark, d):
+    report, p = Report(), graph_p(spark, d)
+    _, edges = fold.fold(p.vertices, p.edges, report=report)
+    text.write_edges(edges, _file(spark, "edges"), report=report)
+    figures = [(k, int(v)) for k, v in report.figures().items()]
+    return spark.createDataFrame(figures, "figure string, value long")
+
+
+_ODD = """CASE p_partkey % 6 WHEN 0 THEN 'N' || p_partkey || '.B' || chr(252) || 'cher.DE.' WHEN 1 THEN 'n' || p_partkey || '.xn--p1ai' WHEN 2 THEN 'n' || p_partkey || '.nosuchtld'
+WHEN 3 THEN '10.0.0.' || p_partkey % 250 WHEN 4 THEN 'n' || p_partkey || '.example.Org' ELSE 'n' || p_partkey || '..com' END"""
+
+
+@query("p8_known_tlds", """WITH known(tld) AS (VALUES ('com'), ('org'), ('net'), ('de'), ('fr'), ('xn--p1ai')),
+h AS (SELECT CASE p_partkey % 6 WHEN 0 THEN 'n' || p_partkey || '.xn--bcher-kva.de' WHEN 1 THEN 'n' || p_partkey || '.xn--p1ai' WHEN 2 THEN 'n' || p_partkey || '.nosuchtld'
+WHEN 3 THEN '10.0.0.' || p_partkey % 250 WHEN 4 THEN 'n' || p_partkey || '.example.org' ELSE 'n' || p_partkey || '..com' END AS host FROM part)
+SELECT host AS src_host, 'example.com' AS dst_host FROM h JOIN known ON tld = split_part(host, '.', len(string_split(host, '.'))) WHERE NOT contains(host, '..')""")
+def _(spark, d):
+    odd = table(spark, d, "part").select(F.expr(_ODD.replace("chr(252)", "char(252)")).alias("src_host"), F.lit("Example.com").alias("dst_host"))
+    return hostlinks.valid_links(odd, normalize=True, known_tlds=True)
+
+
+@query("p7_redirect_links", f"WITH {SQL_H} SELECT x.page_id, a.host AS src_host, CASE WHEN x.page_id % 2 = 0 THEN b.host ELSE a.host END AS dst_host FROM pages x JOIN (SELECT page_id, {_HOST} AS host FROM pages) a USING (page_id) JOIN (SELECT page_id - 1 AS page_id, {_HOST} AS host FROM pages) b USING (page_id)")
+def _(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url")
+    nxt = pages.select((F.col("page_id") - 1).alias("page_id"), F.col("url").alias("to"))
+    moved = pages.join(nxt, "page_id").select("page_id", "url", F.when(F.col("page_id") % 2 == 0, F.col("to")).otherwise(F.lit("/elsewhere?x=//y.z")).alias("location"))
+    return hostlinks.redirect_links(moved, carry=["page_id"])
+
+
+@query("p7_sitemap_links", f"WITH {SQL_H} SELECT a.host AS src_host, b.host AS dst_host, count(*) AS n FROM (SELECT page_id, {_HOST} AS host FROM pages) a JOIN (SELECT page_id - 1 AS page_id, {_HOST} AS host FROM pages) b USING (page_id) GROUP BY ALL")
+def _(spark, d):
+    pages = table(spark, d, "pages").select("page_id", "url")
+    nxt = pages.select((F.col("page_id") - 1).alias("page_id"), F.concat(F.lit("User-agent: *\nDisallow: /\nSiteMap:  "), F.col("url"), F.lit("\n")).alias("text"))
+    return hostlinks.sitemap_links(pages.join(nxt, "page_id")).groupBy("src_host", "dst_host").agg(F.count("*").alias("n"))
+
+
+@query("s13_s14_o8_input_jobs", """WITH n AS (SELECT 2 * count(*) AS n FROM pages), b AS (SELECT unnest(range(0, (n + 63) // 64)) AS batch, n FROM n)
+SELECT batch, least(64, n - 64 * batch) AS paths, n AS all_paths FROM b""")
+def _(spark, d):
+    pages = table(spark, d, "pages")
+    lists = [pages.select(F.concat("url", F.lit(f"#{k}-"), "page_id").alias("path")) for k in (1, 2)]
+    jobs = hostlinks.input_batches(hostlinks.union_inputs(*lists), most=64)
+    sizes = jobs.groupBy("batch").agg(F.count("*").alias("paths"))
+    return sizes.join(jobs.agg(F.count_distinct("path").alias("all_paths")).withColumn("k", F.lit(0)), F.col("k") == 0).drop("k")
+
+
+@query("s15_r1_incremental_crawls", f"WITH {SQL_H} SELECT DISTINCT src_host, dst_host, 3 AS crawls FROM hl")
+def _(spark, d):
+    """Three crawls, of which one is added twice, one was interrupted before, and one brings nothing new."""
+    links = page_links(spark, d).join(page_names(spark, d).select(F.col("h").alias("src_host")).distinct(), "src_host")
+    odd = F.pmod(F.xxhash64("src_host"), F.lit(2)) == 1
+    store = LinkStore(spark, _file(spark, "links"), buckets=16)
+    store.add("a", links.where(odd))
+    store.add("a", links)
+    store.prepare("b", links.where(~odd))
+    for name, rows in (("b", links.where(~odd)), ("c", links)):
+        store.add(name, rows)
+    store.tidy()
+    return store.links().withColumn("crawls", F.lit(len(store.crawls())))
+
+
+@query("u7_merge_crawls", f"WITH {SQL_H} SELECT src_host, dst_host FROM hl UNION SELECT dst_host, src_host FROM hl")
+def _(spark, d):
+    a = page_links(spark, d)
+    return g.merge_links(a, a.select(F.col("dst_host").alias("src_host"), F.col("src_host").alias("dst_host")))
+
+
+@query("x12_shortcuts", f"WITH {SQL_P}, r AS (SELECT v.id, v.name, row_number() OVER (ORDER BY v.id) - 1 AS pos FROM pe JOIN pv v ON v.id = dst WHERE src = 7) SELECT CAST(pos AS INTEGER) AS pos, pos || ': #' || id || chr(9) || name AS line FROM r")
+def _(spark, d):
+    names_ = shortcuts(Explorer(graph_p(spark, d)))
+    names_["cn"](7)
+    return names_["ls"]()
+
+
+def _run_cli(spark, *args: str) -> None:
+    if (code := main(list(args), spark)) != 0:
+        raise RuntimeError(f"{args[0]} ended with {code}")
+
+
+def _graph_files(spark, d) -> tuple[str, str]:
+    v, e, p = _file(spark, "v") + ".gz", _file(spark, "e") + ".gz", graph_p(spark, d)
+    text.write_vertices(p.vertices, v, one=True)
+    text.write_edges(p.edges, e, one=True)
+    return v, e
+
+
+@query("r5_fold_command", f"WITH {SQL_P}, {_FOLD.format(v='pv', e='pe')} SELECT name, n_hosts, n_edges FROM dv LEFT JOIN (SELECT src, count(*) AS n_edges FROM de GROUP BY src) ON src = id")
+def _(spark, d):
+    (v, e), out = _graph_files(spark, d), [_file(spark, n) + ".gz" for n in ("dv", "de")]
+    _run_cli(spark, "fold", "--count", "--one-file", v, e, *out)
+    edges = text.read_edges(spark, out[1]).groupBy(F.col("src").alias("id")).agg(F.count("*").alias("n_edges"))
+    return text.read_vertices(spark, out[0], counts=True).join(edges, "id", "left").select("name", "n_hosts", "n_edges")
+
+
+@query("r6_ranks_command", f"{_SC}, r AS (SELECT hcp.p AS pos, hcp.p || chr(9) || CAST(indegree / 8 AS FLOAT) || chr(9) || prp.p || chr(9) || name AS line FROM deg JOIN hcp USING (id) JOIN prp USING (id)) SELECT CAST(pos AS INTEGER) AS pos, line FROM r")
+def _(spark, d):
+    (v, _), (_, hc, pr) = _graph_files(spark, d), _scores(spark, d)
+    paths = [_file(spark, n) for n in ("hc", "pr", "ranks.gz")]
+    vectors.write_vector(hc, paths[0], "float", "hc")
+    vectors.write_vector(pr, paths[1], "double", "pr")
+    _run_cli(spark, "ranks", "--one-file", v, *paths)
+    cols = F.split("line", "\t")
+    return _numbered(spark, paths[2]).where("pos > 0").select("pos", F.concat_ws("\t", cols[0], cols[1], cols[2], cols[4]).alias("line"))
+
+
+@query("r7_preference_command", f"WITH {SQL_P}, k AS (SELECT count(*) AS n FROM pv WHERE id % 5 = 1) SELECT id, CASE WHEN id % 5 = 1 THEN 1.0 / n ELSE 0 END AS pref FROM pv, k")
+def _(spark, d):
+    (v, _), wanted, out = _graph_files(spark, d), _file(spark, "names"), _file(spark, "pref")
+    text.write_strings(graph_p(spark, d).vertices.where("id % 5 = 1").select(F.col("name").alias("value")), wanted)
+    _run_cli(spark, "preference", "--binary", v, wanted, out)
+    return vectors.read_vector(spark, out, "double", "pref")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flagship: registered domains over the page hosts, with their hosts and in-links."""
     h = graph_h(spark, sf_dir)

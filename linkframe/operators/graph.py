@@ -159,6 +159,12 @@ class Graph:
         zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
         return self.vertices.select("id").join(found, "id", "left").select("id", zero("outdegree"), zero("indegree"))
 
+    def degrees_of(self, v: int | str) -> DataFrame:
+        """(outdegree, indegree) of one vertex, as a row."""
+        i = self.id_of(v)
+        at = self.edges.where((F.col("src") == i) | (F.col("dst") == i))
+        return at.agg(F.count_if(F.col("src") == i).alias("outdegree"), F.count_if(F.col("dst") == i).alias("indegree"))
+
     def outdegree(self, v: int | str) -> int:
         return self._at(v, "src").count()
 

@@ -25,6 +25,9 @@ def degree_distribution(degrees: DataFrame, col: str) -> DataFrame:
     return degrees.groupBy(F.col(col).alias("arcs")).agg(F.count("*").alias("nodes"))
 
 
+OUTPUTS = ("outdegree-indegree", "top-outdegree", "top-indegree", "outdegree-distribution", "indegree-distribution")
+
+
 def degree_outputs(graph, path: str, more_than: int = 1000, n: int = 10_000, gzip: bool = True) -> DataFrame:
     """Writes path/outdegree-indegree, path/top-outdegree, path/top-indegree, path/outdegree-distribution and
     path/indegree-distribution, and returns the degree table.  Edges are read once: the table is written as Parquet

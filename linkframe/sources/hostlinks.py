@@ -27,10 +27,10 @@ def extract_links(pages: DataFrame, url_col: str = "url", html_col: str = "html"
     return rows.select(F.col("host").alias("src_host"), link_host(F.col("link"), F.col("host")).alias("dst_host")).where("dst_host IS NOT NULL")
 
 
-def redirect_links(responses: DataFrame, url_col: str = "url", location_col: str = "location") -> DataFrame:
-    """(src_host, dst_host) of redirects."""
+def redirect_links(responses: DataFrame, url_col: str = "url", location_col: str = "location", carry: list[str] | None = None) -> DataFrame:
+    """(src_host, dst_host) of redirects, beside the columns to carry."""
     rows = page_hosts(responses, url_col)
-    return rows.select(F.col("host").alias("src_host"), link_host(F.col(location_col), F.col("host")).alias("dst_host")).where("dst_host IS NOT NULL")
+    return rows.select(*(carry or []), F.col("host").alias("src_host"), link_host(F.col(location_col), F.col("host")).alias("dst_host")).where("dst_host IS NOT NULL")
 
 
 def sitemap_links(robots: DataFrame, url_col: str = "url", text_col: str = "text") -> DataFrame:
