@@ -6,19 +6,22 @@ page in one physical line has as many logical lines as blocks.
 1. A line's text-to-tag ratio is its characters over its tags.  Structure feeds it: characters
    of links, and of whole navigation, header, footer, sidebar and menu elements, don't count.
 2. The ratios are smoothed with a Gaussian, and two-means clustering of their logarithms gives
-   the threshold.  Lines whose ratio and smoothed ratio reach it are the content cluster.
-3. The content region is the innermost sectioning element that holds the whole cluster, or the
-   ``article`` (else ``main``) around that; where that is the whole body, the region runs from
-   the first to the last line of the cluster.  Headings that stand directly before a region
-   outside ``article`` and ``main`` belong to it.  All lines of the region are returned, however
-   short, but those of the landmark elements of step 1 that stay below the threshold.
+   the threshold.  Lines whose smoothed ratio reaches it are the content cluster.
+3. The cluster selects the content region: from the page downwards, the section inside that holds
+   three quarters of the cluster's characters, as long as there is one; an ``article`` (else
+   ``main``) around that is taken whole, and several articles are not told apart.  Where it is the
+   whole body, the region runs from the first to the last line of the cluster that is high by its own
+   ratio or stands beside such lines.  Headings that stand directly before a region outside ``article``
+   and ``main`` belong to it.  All lines of the region are returned, however short, but those of the
+   landmark elements of step 1 that stay below the threshold.
 4. Adverts, notices, forms, scripts, styles, comments of readers and hidden parts are no lines
    of the article wherever they stand; they are cut out before.
 
 Defined cases
 -------------
 * null or empty html, or no text: an empty string of length 0.
-* no line reaches the threshold: the lines outside landmarks count as the cluster.
+* all ratios are much the same: every line is in the cluster, and sections are told apart by their characters.
+* no line reaches a threshold that the caller sets: no text.
 * ties: all lines with one ratio are content.
 * character references are decoded; white space inside a block (also of ``br``) is one space.
 * unclosed and stray end tags are tolerated; a void element opens nothing.
@@ -280,23 +283,35 @@ def threshold(values: np.ndarray) -> float:
 
 #: Lines whose ratios (plus one) lie within this factor are one cluster.
 APART = 4
-
-
-def _region(cluster: list[Line]) -> _Element:
-    """The innermost section around all lines of the cluster, widened to an article or main element around it."""
-    sections = list(dict.fromkeys(x.section for x in cluster))
-    ways = _ways_up(sections[0])
-    depth = len(ways)
-    for e in sections[1:]:
-        while e.depth >= depth or ways[-1 - e.depth] is not e:
-            e = e.parent
-        depth = min(depth, e.depth + 1)
-    section = ways[-depth]
+#: Share of the cluster's characters that a section must hold for the region to go into it.
+SHARE = 0.75
+
+
+def _region(lines: list[Line], cluster: np.ndarray) -> _Element:
+    """The section that the cluster lies in: from the page downwards, a section inside goes on as long as it holds
+    SHARE of the cluster's characters, and isn't one of several articles that hold some.  An article or main element
+    around it is taken whole."""
+    mass: dict[_Element, int] = {}
+    inner: dict[_Element, set] = {}
+    for x, c in zip(lines, cluster, strict=True):
+        if not c:
+            continue
+        way = [e for e in _ways_up(x.section) if e.tag in SECTIONS or not e.parent]
+        for e, up in zip(way, [*way[1:], None], strict=True):
+            mass[e] = mass.get(e, 0) + max(1, x.counted)
+            if up is not None:
+                inner.setdefault(up, set()).add(e)
+    at = next((e for e in mass if not e.parent), lines[0].section)
+    while inner.get(at):
+        best = max(inner[at], key=mass.__getitem__)
+        if mass[best] < SHARE * mass[at] or best.tag == _ARTICLE and sum(e.tag == _ARTICLE for e in inner[at]) > 1:
+            break
+        at = best
     for tag in (_ARTICLE, _MAIN):
-        for e in _ways_up(section):
+        for e in _ways_up(at):
             if e.tag == tag:
                 return e
-    return section
+    return at
 
 
 def main_text(html: str | None, sigma: float = 1.0, bar: float | None = None) -> str:
@@ -308,17 +323,21 @@ def main_text(html: str | None, sigma: float = 1.0, bar: float | None = None) ->
     smooth = smoothed(own, sigma)
     if bar is None:
         bar = threshold(smooth) if own.max() + 1 >= APART * (own.min() + 1) else 0.0
-    high = (own >= bar) & (smooth >= bar)
-    cluster = [x for x, y in zip(lines, high, strict=True) if y] or [x for x in lines if not x.landmark] or lines
-    region = _region(cluster)
+    cluster = smooth >= bar
+    if not cluster.any():
+        return ""
+    region = _region(lines, cluster)
     holds = {e: region in _ways_up(e) for e in {x.section for x in lines}}
     inside = [holds[x.section] for x in lines]
-    first = inside.index(True)
     if region.tag in ("", "html", "body"):
-        members = set(map(id, cluster))
-        found = [i for i, x in enumerate(lines) if id(x) in members]
-        first = found[0]
-        inside = [first <= i <= found[-1] for i in range(len(lines))]
+        # No section stands out: from the first to the last line of the cluster that is high by itself, or has text of
+        # its own and stands in the section of such a line.
+        high = cluster & (own >= bar)
+        known = {x.section for x, y in zip(lines, high, strict=True) if y}
+        near = np.array([x.counted > 0 and x.section in known for x in lines])
+        found = np.flatnonzero(cluster & (high | near) if high.any() else cluster)
+        inside = [found[0] <= i <= found[-1] for i in range(len(lines))]
+    first = inside.index(True)
     while region.tag not in (_ARTICLE, _MAIN) and first and lines[first - 1].heading and not lines[first - 1].landmark:
         first -= 1
         inside[first] = True

@@ -27,7 +27,32 @@ WANTED = ["A title", PARAGRAPH.strip(), "Short.", PARAGRAPH.strip(), "End."]
 def test_whole_region_whatever_holds_it(around):
     html = page(BODY, around).replace(f"</{around}>", f"</{around.split()[0]}>")
     assert hc.main_text(html) == "\n\n".join(WANTED)
-    assert hc.main_text(html, bar=0.0) != hc.main_text(html)  # it's the threshold that leaves the menu out
+    assert hc.main_text(html, bar=float("inf")) == ""  # no line is content, so no region is
+
+
+def unlisted(body, extra=""):
+    """A page whose chrome carries no name or element that any list holds."""
+    links = "".join(f"<div><a href='/{i}'>item {i}</a></div>" for i in range(8))
+    facts = "".join(f"<div class='q{i}'>Fact {i}</div>" for i in range(60))
+    return f"<html><body><div class='x1'>{links}</div><div class='x2'>{facts}</div><div class='x3'>{body}</div>{extra}<div class='x4'>A few words at the end.</div></body></html>"
+
+
+def test_chrome_of_unlisted_names(monkeypatch):
+    assert hc.main_text(unlisted(BODY)) == "\n\n".join(WANTED)
+    # Without the threshold the many short lines outweigh the text: it's the clusters that leave them out.
+    assert "Fact 7" in hc.main_text(unlisted(BODY), bar=0.0)
+    for name in ("LANDMARKS", "LANDMARK_ROLES", "LANDMARK_WORDS", "HEADER_WORDS", "CUT_WORDS", "CUT_ROLES"):
+        monkeypatch.setattr(hc, name, frozenset())
+    for around in ("article", "main", "div"):
+        assert hc.main_text(page(BODY, around)) == "\n\n".join(WANTED)
+
+
+def test_smoothing_keeps_short_lines_beside_long_ones():
+    long = f"<p>{PARAGRAPH}</p>"
+    html = f"<body><p>Go.</p><p>Up.</p><p>In.</p><p>Of.</p><p>By.</p><p>A start.</p>{long * 3}<p>So it ends.</p></body>"
+    kept, bare = hc.main_text(html), hc.main_text(html, sigma=0)
+    assert "A start." in kept and "So it ends." in kept and "Go." not in kept
+    assert "A start." not in bare and "So it ends." not in bare
 
 
 def test_wrappers_that_are_no_chrome():
