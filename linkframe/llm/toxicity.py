@@ -7,9 +7,9 @@
    a run of single letters) becomes a lattice whose edges read one or more characters and
    write a letter or nothing, each at a price.  Viterbi over states (last two symbols)
    returns the restored word that the model and the channel together find likeliest.  A token
-   with a single path through its lattice is its own restoration and isn't decoded.  In a token
-   too long for a word a mark may also end a word, so a phrase joined by marks gives its words;
-   in a run of single letters a word may end after any letter.
+   with a single path through its lattice is its own restoration and isn't decoded.  A mark may also
+   end a word, at a price, so a phrase joined by marks gives its words, whatever its length; in
+   a run of single letters a word may end after any letter.
 3. Score: features of the restored text are its words and their beginnings.  Those that come
    significantly oftener in toxic than in clean labelled documents (log-likelihood ratio) are
    the lexicon; a small logistic regression on what a document holds of it gives the score.
@@ -206,7 +206,6 @@ _EDGE = "\"'()[]{}<>.,;:!?…«»„“”‘’%&#*$|-_ "
 _REPEAT = re.compile(r"(.)\1\1|(\w)\2(\w)\3")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _LETTER = re.compile(r"[^\W\d_]")
-_TOKEN_LIMIT = 40
 
 
 #: Three or more tokens in a row of at most three characters: what may be a word in single letters.
@@ -236,7 +235,7 @@ class Restorer:
         self.model, self.memory, self.held, self.seen, self.plain = model, memory, 0, {}, set()
 
     def token(self, raw: str) -> str:
-        """Restored word of a white-space token, "" if it holds none; words with blanks between if it's too long for one."""
+        """Restored word of a white-space token, "" if it holds none; words with blanks between if it is a phrase."""
         word = self.seen.get(raw)
         if word is None:
             word = self._restore(raw)
@@ -266,13 +265,12 @@ class Restorer:
         letters = len(_LETTER.findall(low))
         if not letters and not any(c in LEET for c in core):
             return ""
-        if len(low) > _TOKEN_LIMIT and letters < len(core):  # no word is that long; its parts are, as written or restored
-            parts = _PLAIN.findall(core)
-            known = set(parts)
-            return " ".join([*parts, *(w for w in decode(low, self.model, split=True)[0].split() if w not in known)])
         left = low.lstrip("\"'[]>.,;:?…«»„“”‘’%&# ").rstrip("\"')]}>.,;:?…«»„“”‘’%&# ")
-        found = {decode(x, self.model) for x in {core, left, left.rstrip("!*$|-_")} if x}
-        return min(found, key=lambda x: (x[1], x[0]))[0] if found else core
+        found = {decode(x, self.model, split=True) for x in {core, left, left.rstrip("!*$|-_")} if x}
+        words = (min(found, key=lambda x: (x[1], x[0]))[0] if found else core).split()
+        if len(words) > 1:  # a phrase: its parts count as they are written, too
+            words += [w for w in dict.fromkeys(_PLAIN.findall(core)) if len(w) > 2 and w not in words]
+        return " ".join(words)
 
     def text(self, text: str) -> list[str]:
         """Restored words in order, then those of the runs of single letters."""

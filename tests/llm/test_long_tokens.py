@@ -28,6 +28,18 @@ def test_long_tokens_give_their_words(restorer, text, expected):
     assert expected <= set(restorer.text(text))
 
 
+@pytest.mark.parametrize("make, sizes", [
+    (lambda n: "1d10t" + "!" * n, (1, 35, 36, 200)),
+    (lambda n: "st-u-p1d" + "x" * n, (31, 32, 33, 34, 90)),
+    (lambda n: "stup1d" + "-y0u" * n, (2, 8, 9, 10, 11, 30)),
+])
+def test_one_rule_for_every_length(restorer, make, sizes):
+    """What is stretched or repeated is read alike on both sides of any length."""
+    short = {w for w in restorer.text(make(sizes[0])) if "x" not in w}
+    for n in sizes[1:]:
+        assert {w for w in restorer.text(make(n)) if "x" not in w} == short, n
+
+
 def test_runs_of_letters_are_not_cut(restorer):
     for before in range(380, 402):  # wherever the word begins
         run = "valley" * (before % 5) + "house" * ((before - 6 * (before % 5)) // 5) + "unbelievable" + "house" * 20
