@@ -25,8 +25,8 @@ Defined cases
 * empty tables: an empty result; without documents all vectors are zero.
 * ties: equal texts, and so repeated rows, get equal scores.
 * extra columns pass through ``score`` untouched unless they are named like its result.
-* very long texts are read whole, a block of ``BLOCK`` characters at a time; windows and
-  repeats don't reach over the end of a block.
+* very long texts are read whole, ``BLOCK`` characters and ``PIECE`` words at a time; windows, repeats and
+  segments go on over the ends of pieces, so a text of any length is pooled by one rule.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,8 @@ HALF = WIDTH // 2
 #: Rows of a table travel in parts, each summed by one task.
 PARTS, PART_ROWS = 512, 2 * ROWS // 512
 BLOCK = 1 << 19
+#: Words of a piece of a long text, a multiple of SEGMENT.
+PIECE = 1 << 17
 _WORD = re.compile(r"\w+|[^\w\s]+")
 _GAP = [None] * REACH
 
@@ -120,23 +123,52 @@ class Words(dict):
         return n
 
 
-def grouped(texts, limit: int = 1 << 18) -> Iterator[tuple[list, list, list, list]]:
-    """Words of about ``limit`` or more, with a gap after each block of a text: words, starts and ends of the
-    blocks, and the numbers of the texts they belong to."""
-    flat, starts, ends, owners = [], [], [], []
+class Group:
+    """Words in a row, with gaps after each piece of a text.  A piece is its words and, where the text goes on before or
+    after it, the words there that its windows and repeats reach; only its own count."""
+
+    def __init__(self):
+        self.flat: list = []
+        self.starts, self.ends, self.owners = [], [], []
+
+    def add(self, before: list, own: list, after: list, owner: int) -> None:
+        self.starts.append(len(self.flat) + len(before))
+        self.flat += before
+        self.flat += own
+        self.ends.append(len(self.flat))
+        self.flat += after
+        self.flat += _GAP
+        self.owners.append(owner)
+
+    def own(self) -> np.ndarray:
+        """Which places are words of a piece itself."""
+        edges = np.zeros(len(self.flat) + 1, np.int8)
+        edges[self.starts] = 1
+        np.add.at(edges, self.ends, -1)
+        return np.cumsum(edges[:-1]).astype(bool)
+
+
+def grouped(texts, limit: int = 1 << 18) -> Iterator[Group]:
+    """Words of about ``limit`` or more.  A text of over PIECE words goes in pieces of PIECE, a whole number of segments;
+    the last one has SEGMENT words at least, so segments are those of the whole text."""
+    group = Group()
     for i, text in enumerate(texts):
+        before, held = [], []
         for part in blocks_of(text or "", BLOCK):
-            if found := _WORD.findall(part):
-                starts.append(len(flat))
-                flat += found
-                ends.append(len(flat))
-                flat += _GAP
-                owners.append(i)
-                if len(flat) > limit:
-                    yield flat, starts, ends, owners
-                    flat, starts, ends, owners = [], [], [], []
-    if flat:
-        yield flat, starts, ends, owners
+            held += _WORD.findall(part)
+            while len(held) >= PIECE + SEGMENT:
+                group.add(before, held[:PIECE], held[PIECE : PIECE + REACH], i)
+                before, held = held[PIECE - REACH - 2 : PIECE], held[PIECE:]
+                if len(group.flat) > limit:
+                    yield group
+                    group = Group()
+        if held:
+            group.add(before, held, [], i)
+        if len(group.flat) > limit:
+            yield group
+            group = Group()
+    if group.flat:
+        yield group
 
 
 def _sorted_by(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,74 +193,95 @@ class ContextSums:
     def __init__(self):
         self.sums = np.zeros((2, ROWS, HALF), np.int32)
 
-    def add(self, n: np.ndarray, words: Words) -> None:
-        """Adds the windows of consecutive words; after each text n has REACH gaps (-1)."""
+    def add(self, n: np.ndarray, words: Words, own: np.ndarray) -> None:
+        """Adds the windows of the ``own`` ones of consecutive words; after each text n has REACH gaps (-1)."""
         rows = words.index[n]
         rows[n < 0] = 0
         near = rows.copy()
         for d in range(1, REACH + 1):
             near[d:] += rows[:-d]
             near[:-d] += rows[d:]
-        kept = np.flatnonzero(n >= 0)
+        kept = np.flatnonzero(own)
         order, cuts = _sorted_by(n[kept])
         order = kept[order]
         most = (2 * REACH + 1) * NONZERO // 2
         cuts = np.union1d(cuts, np.arange(0, len(order), 0xFFFF // (2 * most + 1)))  # no lane overflows
-        own = run_sums(near[order], cuts, most)
+        sums = run_sums(near[order], cuts, most)
         at = words.rows[n[order[cuts]]]
         for half in (0, 1):
             order, cuts = _sorted_by(at[:, half])
             nth = np.arange(len(order)) - np.repeat(cuts, np.diff(np.append(cuts, len(order))))
             for k in range(nth.max() + 1):  # rows that several words share, one word at a time
                 i = order[nth == k]
-                self.sums[half, at[i, half]] += own[i, half * HALF : (half + 1) * HALF]
+                self.sums[half, at[i, half]] += sums[i, half * HALF : (half + 1) * HALF]
+
+
+_PARTS_SCHEMA = pa.schema([("task", pa.int32()), ("part", pa.int32()), ("small", pa.bool_()), ("rows", pa.binary()), ("sums", pa.binary())])
+_PARTS_DDL = "task int, part int, small boolean, rows binary, sums binary"
+#: Text bytes that one task counts before it hands its tables on; tables that one task adds up; parts of a table it has.
+TASK_BYTES, FAN, TASK_PARTS = 512 << 20, 32, 16
 
 
-_PARTS_SCHEMA = pa.schema([("part", pa.int32()), ("small", pa.bool_()), ("rows", pa.binary()), ("sums", pa.binary())])
-_PARTS_DDL = "part int, small boolean, rows binary, sums binary"
+def _part_rows(task: int, i: int, part: np.ndarray) -> pa.RecordBatch | None:
+    """Rows of a part that aren't zero, those of small numbers as bytes."""
+    most, out = np.abs(part).max(axis=1), []
+    for small, at in ((True, np.flatnonzero((most > 0) & (most < 128))), (False, np.flatnonzero(most >= 128))):
+        if len(at):
+            out.append((task, i, small, at.astype(np.uint16).tobytes(), part[at].astype(np.int8 if small else np.int64).tobytes()))
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PARTS_SCHEMA, strict=True)], schema=_PARTS_SCHEMA) if out else None
 
 
-def _parts_of(sums: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows that aren't zero, in parts, those of small numbers as bytes."""
-    flat = sums.reshape(PARTS, PART_ROWS, HALF)
-    for i, part in enumerate(flat):
-        most = np.abs(part).max(axis=1)
-        out = []
-        for small, at in ((True, np.flatnonzero((most > 0) & (most < 128))), (False, np.flatnonzero(most >= 128))):
-            if len(at):
-                out.append((i, small, at.astype(np.uint16).tobytes(), part[at].astype(np.int8 if small else part.dtype).tobytes()))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _PARTS_SCHEMA, strict=True)], schema=_PARTS_SCHEMA)
+def _added(batches) -> dict:
+    """{(task, part): sums} of parts of tables."""
+    total: dict = {}
+    for batch in batches:
+        for task, part, small, rows, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            mine = total.setdefault((task, part), np.zeros((PART_ROWS, HALF), np.int64))
+            mine[np.frombuffer(rows, np.uint16)] += np.frombuffer(sums, np.int8 if small else np.int64).reshape(-1, HALF)
+    return total
 
 
 def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """(part, rows, vectors) of the tables' rows that aren't zero: unit vectors times 127, as bytes."""
+    """(part, rows, vectors) of the tables' rows that aren't zero: unit vectors times 127, as bytes.
+
+    A task counts TASK_BYTES of text, whose tables are at most 64 MB (128 if its sums are large).  Tables are added up as a
+    tree, FAN of them to one a level, so no task reads more than FAN * TASK_PARTS parts of at most 256 KB at any scale.
+    """
 
     def count(batches):
         words, table = Words(indexed=True), ContextSums()
         for batch in batches:
-            for flat, *_ in grouped(t.as_py() for t in batch.column(0)):
-                table.add(words.numbers(flat), words)
-        yield from _parts_of(table.sums)
+            for group in grouped(t.as_py() for t in batch.column(0)):
+                table.add(words.numbers(group.flat), words, group.own())
+        task = TaskContext.get().partitionId()
+        for i, part in enumerate(table.sums.reshape(PARTS, PART_ROWS, HALF)):
+            if (rows := _part_rows(task, i, part)) is not None:
+                yield rows
         del words, table
         let_go()
 
-    def merge(batches):
-        total: dict = {}
-        for batch in batches:
-            for part, small, rows, sums in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = np.frombuffer(rows, np.uint16)
-                mine = total.setdefault(part, np.zeros((PART_ROWS, HALF), np.int64))
-                mine[at] += np.frombuffer(sums, np.int8 if small else np.int32).reshape(-1, HALF)
-        for part in sorted(total):
-            length = np.linalg.norm(total[part], axis=1)
+    def join(batches):
+        for (task, part), sums in _added(batches).items():
+            if (rows := _part_rows(task, part, sums)) is not None:
+                yield rows
+
+    def finish(batches):
+        for (_, part), sums in sorted(_added(batches).items()):
+            length = np.linalg.norm(sums, axis=1)
             at = np.flatnonzero(length)
-            unit = np.rint(127 * total[part][at] / length[at, None]).astype(np.int8)
+            unit = np.rint(127 * sums[at] / length[at, None]).astype(np.int8)
             cols = [pa.array([part], pa.int32()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()), pa.array([unit.tobytes()], pa.binary())]
             yield pa.RecordBatch.from_arrays(cols, names=["part", "rows", "vectors"])
 
-    sums = docs.select(F.col(text_col).cast("string")).mapInArrow(count, _PARTS_DDL)
-    return sums.repartition(32, "part").mapInArrow(merge, "part int, rows binary, vectors binary")
+    texts = docs.select(F.col(text_col).cast("string").alias("text"))
+    size = texts.agg(F.sum(F.octet_length("text"))).head()[0] or 0
+    tables = max(2 * docs.sparkSession.sparkContext.defaultParallelism, -(-size // TASK_BYTES))
+    sums = texts.coalesce(tables).mapInArrow(count, _PARTS_DDL)
+    while tables > FAN:
+        tables = -(-tables // FAN)
+        sums = sums.withColumn("task", F.floor(F.col("task") / FAN).cast("int"))
+        sums = sums.repartition(tables * PARTS // TASK_PARTS, "task", "part").mapInArrow(join, _PARTS_DDL)
+    return sums.withColumn("task", F.lit(0)).repartition(PARTS // TASK_PARTS, "part").mapInArrow(finish, "part int, rows binary, vectors binary")
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
@@ -249,8 +302,9 @@ def pooled(texts: list[str | None], words: Words, vectors: np.ndarray) -> np.nda
     """A row a text: mean, and largest and smallest means over segments, 3 * WIDTH values."""
     total, count = np.zeros((len(texts), WIDTH)), np.zeros(len(texts))
     most, least = np.full((len(texts), WIDTH), -np.inf), np.full((len(texts), WIDTH), np.inf)
-    for flat, starts, ends, owners in grouped(texts):
-        n = words.numbers(flat)  # before its rows: they may move
+    for group in grouped(texts):
+        starts, ends, owners = group.starts, group.ends, group.owners
+        n = words.numbers(group.flat)  # before its rows: they may move
         rows = words.rows[n]
         v = np.concatenate([vectors[0, rows[:, 0]], vectors[1, rows[:, 1]]], axis=1)
         cuts, sizes, first = [], [], []
@@ -259,7 +313,7 @@ def pooled(texts: list[str | None], words: Words, vectors: np.ndarray) -> np.nda
             first.append(len(cuts))
             cuts += range(a, a + n * SEGMENT, SEGMENT)
             sizes += [SEGMENT] * (n - 1) + [b - a - (n - 1) * SEGMENT]
-        v[np.add.outer(ends, np.arange(REACH)).ravel()] = 0  # gaps
+        v[~group.own()] = 0
         sums = run_sums(v, np.array(cuts), 127)
         means = sums / np.array(sizes)[:, None]
         np.add.at(total, owners, np.add.reduceat(sums, first, axis=0))

@@ -42,8 +42,8 @@ def literal(texts):
 
 def tables_of(texts, limit):
     words, table = q.Words(indexed=True, memory=50), q.ContextSums()
-    for flat, *_ in q.grouped(texts, limit):
-        table.add(words.numbers(flat), words)
+    for group in q.grouped(texts, limit):
+        table.add(words.numbers(group.flat), words, group.own())
     return table.sums
 
 
@@ -58,6 +58,41 @@ def test_context_vectors_are_literal_counts():
         assert (tables_of(texts, limit) == want).all(), limit
 
 
+def test_pieces_are_one_text(monkeypatch):
+    """Windows, repeats and segments go on over the ends of blocks and pieces."""
+    texts = [*texts_of(5, 9), " ".join(["so", "so", "!!", "so", "then", "x"] * 200)]
+    v = np.random.default_rng(2).integers(-127, 128, (2, q.ROWS, q.HALF)).astype(np.int8)
+    whole, pooled = tables_of(texts, 1 << 18), q.pooled(texts, q.Words(), v)
+    for block, piece in ((50, 32), (777, 64), (90, 96)):
+        monkeypatch.setattr(q, "BLOCK", block)
+        monkeypatch.setattr(q, "PIECE", piece)
+        for limit in (1, 500):
+            assert (tables_of(texts, limit) == whole).all()
+        assert np.allclose(q.pooled(texts, q.Words(memory=30), v), pooled, atol=1e-6)
+
+
+def test_a_text_of_over_a_million_characters():
+    text = " ".join(texts_of(1, 3)[-1] for _ in range(40))
+    assert len(text) > 1_200_000
+    v = np.random.default_rng(3).integers(-127, 128, (2, q.ROWS, q.HALF)).astype(np.int8)
+    w = words_with_repeats(text)
+    known = {x: q.vector_of(x, v) for x in set(w)}
+    x = np.array([known[y] for y in w])
+    cuts = list(range(0, len(w), q.SEGMENT))
+    if len(w) - cuts[-1] < q.SEGMENT // 2:
+        cuts.pop()
+    means = np.add.reduceat(x, cuts, axis=0) / np.diff([*cuts, len(w)])[:, None]
+    assert np.allclose(q.pooled([text], q.Words(), v)[0], np.concatenate([x.mean(axis=0), means.max(axis=0), means.min(axis=0)]), atol=1e-5)
+
+
+def test_tree_of_tables(spark, monkeypatch):
+    texts = texts_of(60, 8)
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string").repartition(8)
+    want = q.word_vectors(docs)
+    monkeypatch.setattr(q, "FAN", 2)  # eight tables: three levels
+    assert (q.word_vectors(docs) == want).all()
+
+
 def test_tables_of_a_corpus(spark):
     texts = texts_of(40, 6)
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
