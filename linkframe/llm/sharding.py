@@ -34,9 +34,14 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from linkframe.plans.lineage import Scratch
 
@@ -44,7 +49,6 @@ CELL_BITS, PART_BITS = 16, 12
 _LEVELS = ("__lf_c1", "__lf_c2", "__lf_c3", "__lf_c4")
 #: Maps of more rows than this aren't broadcast by force.
 MAX_BROADCAST = 1_000_000
-_SLOT_PARTS = 64
 RESULTS = ("size", "text_crc32", "shard", "slot")
 
 
@@ -182,7 +186,9 @@ def assign(
         out = out.join(small(level, len(mine)), keys, "left")
     by_cell = F.coalesce("__lf_s1", "__lf_s2", "__lf_s3", "__lf_s4")
     out = out.withColumn("__lf_shard", F.when(F.col("__lf_size") > big, F.col("__lf_s0")).otherwise(by_cell))
-    return _with_slots(out, scratch).select(
+    done = _with_slots(out.drop("__lf_text", "__lf_own", *_LEVELS), scratch)
+    scratch.drop(rows)
+    return done.select(
         *carry,
         F.col("__lf_size").alias("size"),
         F.col("__lf_crc").alias("text_crc32"),
@@ -192,14 +198,25 @@ def assign(
 
 
 def _with_slots(rows: DataFrame, scratch: Scratch) -> DataFrame:
-    """Numbers rows 0, 1, ... in each shard: counts by (shard, part), then numbers within a part."""
-    part = F.pmod(F.hash("__lf_own", "__lf_text", "__lf_c4"), F.lit(_SLOT_PARTS))
-    rows = rows.withColumn("__lf_part", part)
-    counts = rows.groupBy("__lf_shard", "__lf_part").count()
-    before = Window.partitionBy("__lf_shard").orderBy("__lf_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__lf_shard", "__lf_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__lf_off"))
-    offsets = scratch.cut(offsets, "offsets")  # shards * _SLOT_PARTS rows
-    order = Window.partitionBy("__lf_shard", "__lf_part").orderBy("__lf_own", "__lf_text")
-    return rows.withColumn("__lf_n", F.row_number().over(order)).join(F.broadcast(offsets), ["__lf_shard", "__lf_part"]).withColumn(
-        "__lf_slot", F.col("__lf_off") + F.col("__lf_n") - 1
-    )
+    """Numbers rows 0, 1, ... in each shard: each task numbers its rows of a shard while it writes them, and the counts
+    of the tasks before it, one row a task and shard, shift them.  No row is shuffled for it."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("__lf_task", T.IntegerType()), T.StructField("__lf_n", T.LongType())])
+
+    def number(batches):
+        task, seen = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            shards, at, sizes = np.unique(batch["__lf_shard"].to_numpy(zero_copy_only=False), return_inverse=True, return_counts=True)
+            order, n = np.argsort(at, kind="stable"), np.empty(len(at), np.int64)
+            first = np.repeat(np.cumsum(sizes) - sizes, sizes)
+            n[order] = np.arange(len(at)) - first + np.repeat([seen[s] for s in shards.tolist()], sizes)
+            seen.update(dict(zip(shards.tolist(), sizes.tolist(), strict=True)))
+            columns = [*batch.columns, pa.array(np.full(len(at), task, np.int32)), pa.array(n)]
+            yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+
+    rows = scratch.cut(rows.mapInArrow(number, schema), "placed")
+    counts = rows.groupBy("__lf_shard", "__lf_task").count()
+    before = Window.partitionBy("__lf_shard").orderBy("__lf_task").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__lf_shard", "__lf_task", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__lf_off"))
+    offsets, n = scratch.measured(offsets, "offsets", n=F.count("*"))  # shards * tasks rows
+    offsets = F.broadcast(offsets) if n["n"] <= MAX_BROADCAST else offsets
+    return rows.join(offsets, ["__lf_shard", "__lf_task"]).withColumn("__lf_slot", F.col("__lf_off") + F.col("__lf_n"))
