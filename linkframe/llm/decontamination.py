@@ -15,16 +15,18 @@ Defined cases
 * ties: equal windows of several items count for each; very long texts are scanned whole, a task
   holding the words of one at a time.
 
-Size: the set is broadcast only while the benchmark's text stays under
-``max_broadcast_bytes``.  A larger benchmark is cut by a hash of its text into parts under
-the bound, and the documents are scanned once per part, hits being merged row by row.
+Size: the set is kept as arrays and broadcast only while they take at most ``max_broadcast_bytes``,
+counted as built (about four times the text).  A larger benchmark is cut by a hash into parts under the bound;
+the documents are scanned once a part, which gives row numbers and hits, and these are joined once.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,24 +51,45 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class TestSet:
-    """Windows of benchmark items: hash -> [(words, item ids)], by window length."""
+    """Windows of benchmark items, as arrays: by window length the sorted hashes, where in one buffer of words each
+    window begins, and the number of its item.  16 bytes a window, the words once, and the ids."""
 
     __test__ = False
 
     def __init__(self, items: list[tuple[str | None, bytes | None]], n: int):
-        self.by_length: dict[int, dict[int, dict[tuple, set]]] = {}
+        buffer, ids, found = bytearray(), [], {}
         for item_id, text in items:
             words = words_of(text)
             size = min(n, len(words))
             if not size:
                 continue
-            for i, h in enumerate(window_hashes(word_hashes(words), size).tolist()):
-                key = tuple(words[i : i + size])
-                found = self.by_length.setdefault(size, {}).setdefault(h, {})
-                ids = found.setdefault(key, set())
-                if item_id is not None:
-                    ids.add(item_id)
-        self.sorted = {size: np.array(sorted(d), np.uint64) for size, d in self.by_length.items()}
+            starts = np.cumsum([len(buffer), *(len(w) + 1 for w in words[: len(words) - size])])
+            h, at, owner = found.setdefault(size, (array("Q"), array("Q"), array("I")))
+            h.frombytes(window_hashes(word_hashes(words), size).tobytes())
+            at.frombytes(starts.astype(np.uint64).tobytes())
+            owner.frombytes(np.full(len(starts), len(ids), np.uint32).tobytes())
+            buffer += b" ".join(words) + b"\n"
+            ids.append(item_id)
+        self.buffer, self.ids = bytes(buffer), pa.array(ids, pa.string())
+        self.sorted, self.starts, self.owners = {}, {}, {}
+        narrow = np.uint32 if len(buffer) < 1 << 32 else np.uint64
+        for size, (h, at, owner) in found.items():
+            h = np.frombuffer(h, np.uint64)
+            order = np.argsort(h, kind="stable")
+            self.sorted[size] = h[order]
+            self.starts[size] = np.frombuffer(at, np.uint64).astype(narrow)[order]
+            self.owners[size] = np.frombuffer(owner, np.uint32)[order]
+
+    @property
+    def nbytes(self) -> int:
+        return len(self.buffer) + self.ids.nbytes + sum(a.nbytes for d in (self.sorted, self.starts, self.owners) for a in d.values())
+
+    def items_of(self, size: int, h: int, words: bytes) -> frozenset | None:
+        """Ids of the items that hold a window of that hash and those words; None if there is no such window."""
+        known, end = self.sorted[size], len(words)
+        lo, hi = np.searchsorted(known, h, side="left"), np.searchsorted(known, h, side="right")
+        mine = [k for k in range(lo, hi) if self.buffer.startswith(words, at := int(self.starts[size][k])) and self.buffer[at + end] in b" \n"]
+        return frozenset(i for k in mine if (i := self.ids[int(self.owners[size][k])].as_py()) is not None) if mine else None
 
     def sieve(self, size: int) -> np.ndarray:
         out = np.zeros(1 << _SIEVE, bool)
@@ -92,14 +115,17 @@ def _scan(tests: TestSet, texts: list[bytes | None], sieves: dict) -> list[tuple
         pos[pos == len(known)] = 0
         at = at[known[pos] == w[at]]
         owner = np.searchsorted(starts, at, side="right") - 1
+        seen: dict = {}  # of these texts' windows
         for i, d in zip(at.tolist(), owner.tolist(), strict=True):
             lo = i - int(starts[d])
             if lo + size > len(docs[d]):
                 continue
-            found = tests.by_length[size][int(w[i])].get(tuple(docs[d][lo : lo + size]))
-            if found is not None:
+            words = b" ".join(docs[d][lo : lo + size])
+            if words not in seen:
+                seen[words] = tests.items_of(size, w[i], words)
+            if seen[words] is not None:
                 spans[d].append((lo, lo + size))
-                ids[d] |= found
+                ids[d] |= seen[words]
     return [(len(docs[d]), _merged(spans[d]), ids[d]) for d in range(len(docs))]
 
 
@@ -125,35 +151,43 @@ _HITS_ARROW = pa.struct([
 ])
 
 
-def _with_hits(docs: DataFrame, tests, text_col: str) -> DataFrame:
-    """Adds __lf_hits, merged with what an earlier part has found."""
-    before = "__lf_hits" in docs.columns
+def _with_hits(docs: DataFrame, tests, text_col: str, only_hits: bool = False) -> DataFrame:
+    """Adds __lf_hits; ``only_hits`` drops rows without any."""
     shape = docs.withColumn("__lf_text", F.col(text_col).cast("binary"))
-    schema = T.StructType([*[f for f in docs.schema.fields if f.name != "__lf_hits"], T.StructField("__lf_hits", _HITS)])
+    schema = T.StructType([*docs.schema.fields, T.StructField("__lf_hits", _HITS)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tests.value
         sieves = {size: t.sieve(size) for size in t.sorted}
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index("__lf_text"))
-            old = batch.column(batch.schema.get_field_index("__lf_hits")).to_pylist() if before else None
-            hits, k = [], 0
+            texts, hits = batch.column(batch.num_columns - 1), []
             for group in pack_rows(range(len(texts)), lambda i: len(texts[i].as_py() or b"") // 6 + 1, 1_000_000):
                 for n, spans, ids in _scan(t, [texts[i].as_py() for i in group], sieves):
-                    if old:
-                        spans = _merged(spans + [(s["lo"], s["hi"]) for s in old[k]["spans"]])
-                        ids = ids | set(old[k]["items"])
                     hits.append({"n_words": n, "spans": [{"lo": a, "hi": b} for a, b in spans], "items": sorted(ids)})
-                    k += 1
-            keep = [i for i, name in enumerate(batch.schema.names) if name not in ("__lf_text", "__lf_hits")]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(i) for i in keep), pa.array(hits, _HITS_ARROW)],
-                names=[*(batch.schema.names[i] for i in keep), "__lf_hits"],
-            )
+            out = pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(hits, _HITS_ARROW)], names=[*batch.schema.names[:-1], "__lf_hits"])
+            yield out.filter(pa.array([bool(x["spans"]) for x in hits])) if only_hits else out
 
     return shape.mapInArrow(scan, schema)
 
 
+def _joined(found: DataFrame) -> DataFrame:
+    """(__lf_row, __lf_hits) of what several parts have found in a row."""
+    by = found.groupBy("__lf_row").agg(
+        F.max("__lf_hits.n_words").alias("n_words"), F.flatten(F.collect_list("__lf_hits.spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("__lf_hits.items"))).alias("items")
+    )
+
+    def join(batches):
+        for batch in batches:
+            rows = batch.select(["n_words", "spans", "items"]).to_pylist()
+            hits = [
+                {"n_words": r["n_words"], "spans": [{"lo": a, "hi": b} for a, b in _merged([(s["lo"], s["hi"]) for s in r["spans"]])], "items": sorted(r["items"])}
+                for r in rows
+            ]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(hits, _HITS_ARROW)], names=["__lf_row", "__lf_hits"])
+
+    return by.mapInArrow(join, T.StructType([T.StructField("__lf_row", T.LongType()), T.StructField("__lf_hits", _HITS)]))
+
+
 def find_hits(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -161,26 +195,37 @@ def find_hits(
     item_col: str = "item_id",
     item_text_col: str = "text",
     n: int = 10,
-    max_broadcast_bytes: int = 32 << 20,
+    max_broadcast_bytes: int = 128 << 20,
     carry: list[str] | None = None,
 ) -> DataFrame:
     """docs (or its columns ``carry``) with ``__lf_hits``: words, hit spans, sorted item ids."""
     spark = docs.sparkSession
     items = benchmark.select(
-        F.col(item_col).cast("string").alias("id"), F.col(item_text_col).cast("binary").alias("text")
-    )
-    total = items.agg(F.sum(F.length("text") + F.coalesce(F.length("id"), F.lit(0)) + 16)).head()[0] or 0
+        F.col(item_col).cast("string").alias("id"), F.col(item_text_col).cast("string").alias("text")
+    ).where(F.length("text") > 0).distinct()
+    # What a TestSet takes: its words, 16 bytes a window (at most one a word), and ids with their offsets.
+    words = F.regexp_count("text", F.lit(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))
+    built = F.octet_length("text") + 16 * words + F.coalesce(F.octet_length("id"), F.lit(0)) + 16
+    total = items.agg(F.sum(built)).head()[0] or 0
     parts = max(1, math.ceil(total / max_broadcast_bytes))
-    if carry is not None:
-        docs = docs.select(*dict.fromkeys([*carry, text_col]))
     scratch = Scratch(spark, "decontamination")
+
+    def tests(k):
+        mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k)
+        return spark.sparkContext.broadcast(TestSet([(r["id"], r["text"].encode()) for r in mine.collect()], n))
+
+    if parts == 1:
+        return _with_hits(docs if carry is None else docs.select(*dict.fromkeys([*carry, text_col])), tests(0), text_col)
+    # Documents are written once, with a number a row; each part gives numbers and hits, the first one of all rows.
+    docs = docs if carry is None else docs.select(*dict.fromkeys([*carry, text_col]))
+    docs = scratch.cut(docs.withColumn("__lf_row", F.monotonically_increasing_id()), "rows")
+    found = []
     for k in range(parts):
-        mine = items if parts == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == k)
-        found = TestSet([(r["id"], bytes(r["text"]) if r["text"] is not None else None) for r in mine.collect()], n)
-        docs = _with_hits(docs, spark.sparkContext.broadcast(found), text_col)
-        if parts > 1:
-            docs = scratch.cut(docs, f"part{k}")
-    return docs
+        sent = tests(k)
+        hits = _with_hits(docs.select("__lf_row", text_col), sent, text_col, only_hits=k > 0).select("__lf_row", "__lf_hits")
+        found.append(scratch.cut(hits, f"part{k}"))
+        sent.destroy()
+    return docs.join(scratch.cut(_joined(reduce(DataFrame.union, found)), "hits"), "__lf_row").drop("__lf_row")
 
 
 def _without(text: bytes, spans: list) -> bytes:

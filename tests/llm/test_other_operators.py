@@ -142,3 +142,24 @@ def test_smoothing_and_threshold():
     s = hc.smoothed(x, 1.0)
     assert len(s) == len(x) and 1 < hc.threshold(s) < 55 and s[4] > s[0]
     assert hc.threshold(np.array([])) == 0 and hc.threshold(np.ones(4)) == 0
+
+
+def test_set_of_windows_takes_little():
+    """Its size as built and as sent stays under eight bytes a byte of text, items of the same words included."""
+    import pickle
+    import random
+
+    from linkframe.llm import decontamination as dc
+
+    rnd = random.Random(2)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    items = [(f"item-{i}", " ".join(rnd.choice(words) for _ in range(rnd.randint(5, 60))).encode()) for i in range(12_000)]
+    items += [(f"copy-{i}", t) for i, (_, t) in enumerate(items[:500])]
+    size, tests = sum(len(t) for _, t in items), dc.TestSet(items, 10)
+    assert size > 2_000_000 and tests.nbytes < 8 * size and len(pickle.dumps(tests)) < 8 * size
+    for i in (0, 7, 499):
+        w = dc.words_of(items[i][1])
+        k = min(10, len(w))
+        h = dc.window_hashes(dc.word_hashes(w), k)[-1]
+        assert tests.items_of(k, h, b" ".join(w[-k:])) == {f"item-{i}", f"copy-{i}"}
+        assert tests.items_of(k, h, b" ".join([*w[-k:-1], w[-1] + b"x"])) is None and tests.items_of(k, h, b" ".join(w[-k:])[:-1]) is None
