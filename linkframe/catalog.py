@@ -11,6 +11,7 @@ Graphs (see FIXTURES.md):
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -27,6 +28,7 @@ from linkframe.operators.explore import Explorer, listing, shortcuts
 from linkframe.plans.crawls import LinkStore
 from linkframe.plans.lineage import Scratch
 from linkframe.plans.report import Report
+from linkframe.plans.workflow import Stopped, Workflow
 from linkframe.sources import hostlinks, text, vectors
 
 TLDS = ["com", "org", "net", "de", "fr"]
@@ -993,6 +995,24 @@ def _(spark, d):
     return _numbered(spark, paths[2]).where("pos > 0").select("pos", F.concat_ws("\t", cols[0], cols[1], cols[2], cols[4]).alias("line"))
 
 
+@query("r1_r14_workflow", f"WITH {SQL_P} SELECT 'hosts' AS step, TRUE AS done, count(*) AS n FROM pv UNION ALL SELECT 'links', TRUE, count(*) FROM pe UNION ALL SELECT 'later', FALSE, 0")
+def _(spark, d):
+    """Steps in the background, a second run that makes none of them anew, and a stop file before the last."""
+    folder, p = _file(spark, "flow"), graph_p(spark, d)
+    flow = Workflow(spark, folder)
+    flow.background("hosts", lambda: p.vertices)
+    flow.background("links", lambda: p.edges)
+    flow.wait()
+    again = Workflow(spark, folder, stop_file=f"{folder}/stop")
+    made = {n: again.step(n, lambda: spark.range(-1, 0).where("id / 0 > 0")) for n in ("hosts", "links")}
+    text.write_strings(spark.range(0).select(F.lit("").alias("value")), f"{folder}/stop")
+    with contextlib.suppress(Stopped):
+        made["later"] = again.step("later", lambda: p.vertices)
+    done = again.status("hosts", "links", "later")
+    rows = [made.get(n, spark.range(0)).agg(F.count("*").alias("n")).select(F.lit(n).alias("step"), F.lit(x).alias("done"), "n") for n, x in done.items()]
+    return reduce(DataFrame.union, rows)
+
+
 @query("r7_preference_command", f"WITH {SQL_P}, k AS (SELECT count(*) AS n FROM pv WHERE id % 5 = 1) SELECT id, CASE WHEN id % 5 = 1 THEN 1.0 / n ELSE 0 END AS pref FROM pv, k")
 def _(spark, d):
     (v, _), wanted, out = _graph_files(spark, d), _file(spark, "names"), _file(spark, "pref")

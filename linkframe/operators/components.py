@@ -17,11 +17,8 @@ def min_reachable(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) ->
     in which Spark splits large partitions.
     """
 
-    def state(e):
-        return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).head())
-
-    e = scratch.cut(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = state(e)
+    state = {"n": F.count("*"), "hash": F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))}  # taken while a round is written
+    e, before = scratch.measured(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges", **state)
     for _ in range(most_rounds):
         both = e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -29,9 +26,9 @@ def min_reachable(edges: DataFrame, scratch: Scratch, most_rounds: int = 60) ->
         large = large.where("a <> b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
-        new = scratch.cut(small.where("a <> b").distinct(), "edges")
+        new, after = scratch.measured(small.where("a <> b").distinct(), "edges", **state)
         scratch.drop(e)
-        e, after = new, state(new)
+        e = new
         if after == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(e.select("b", "b").distinct())
         before = after

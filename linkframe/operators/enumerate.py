@@ -13,18 +13,18 @@ from linkframe.plans.lineage import Scratch
 SMALL = 200_000
 
 
-def number(df: DataFrame, order: list, out_col: str = "id", first: int = 0, small: int = SMALL, written: bool = False) -> DataFrame:
-    """df with ``out_col`` = first, first + 1, ... in the order of the given columns.  ``written`` says that
-    reading df again costs nothing much.
+def number(df: DataFrame, order: list, out_col: str = "id", first: int = 0, small: int = SMALL, rows: int | None = None) -> DataFrame:
+    """df with ``out_col`` = first, first + 1, ... in the order of the given columns.  df is computed once, by being written
+    and counted in one pass; ``rows``, if given, says that it is written already and how many rows it has.
 
     Few rows are numbered by one window.  Beyond that rows are dealt by ranges of the order;
     each range is numbered by itself and shifted by the sizes of those before.
     """
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     scratch = Scratch(df.sparkSession, "number")
-    if not written:
-        df = scratch.cut(df, "rows")  # computed once, whatever it takes
-    rows = df.count()
+    if rows is None:
+        df, seen = scratch.measured(df, "rows", n=F.count("*"))
+        rows = seen["n"]
     if rows <= small:
         return df.withColumn(out_col, F.row_number().over(Window.orderBy(*order)).cast("long") + (first - 1))
     parts = max(2, math.ceil(rows / small))
