@@ -121,12 +121,13 @@ class Scratch:
         out = self.cut(df.observe(seen, *(c.alias(k) for k, c in figures.items())), name)
         return out, seen.get
 
-    def bucketed(self, df: DataFrame, key: str, buckets: int, parts: list[str] | None = None) -> str:
+    def bucketed(self, df: DataFrame, key: str, buckets: int, parts: list[str] | None = None, deal: bool = True) -> str:
         """The name of a table of df in buckets of ``key``, one file a bucket: joins by the key shuffle only the other
-        side.  ``drop_table`` removes it."""
+        side.  ``drop_table`` removes it.  Without ``deal`` rows are not shuffled, and each task writes a file a bucket
+        that it has rows of: for tables whose tasks have few keys each."""
         name, path = f"linkframe_{uuid.uuid4().hex}", self.path("buckets")
         with shuffles_deleted(self.spark):
-            out = df.repartition(buckets, key).write.option("path", path).option("compression", "zstd").bucketBy(buckets, key).sortBy(key)
+            out = (df.repartition(buckets, key) if deal else df).write.option("path", path).option("compression", "zstd").bucketBy(buckets, key).sortBy(key)
             (out.partitionBy(*parts) if parts else out).saveAsTable(name)
         self._tables[name] = path
         return name
