@@ -17,7 +17,8 @@ Defined cases
 * a declared length beyond the image's end: the rest is taken and WARC-Truncated is set.
 * payloads of equal SHA-1 and length of at least ``min_revisit`` bytes form a group; the
   record with the largest (sequence, url, date, archive, offset) is the response.
-  Smaller ones are never revisits.  Repeated rows are records of their own.
+  Smaller ones are never revisits.  Repeated rows are records of their own.  Archives have names of their own:
+  a record is known by archive and offset.
 * empty input: no records and no files.
 * extra columns of the pages table are ignored, whatever their names.
 
@@ -38,6 +39,7 @@ from collections.abc import Iterator
 from datetime import datetime
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +54,8 @@ ARC_DEFINITION = {
     1: "URL IP-address Archive-date Content-type Archive-length",
     2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length",
 }
+#: Bytes of images that one task converts.
+BUCKET_BYTES = 128 << 20
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SEQUENCE, LENGTH, REFERS = "X-Sequence", "X-Payload-Length", "X-Refers-To-Sequence"
 
@@ -162,63 +166,70 @@ def pages_to_arc(pages: DataFrame, image_bytes: int = 8 << 20) -> DataFrame:
     return src.mapInArrow(build, "archive string, content binary")
 
 
+_SEQUENCE = re.compile(rb"(?im)^" + SEQUENCE.encode() + rb":[ \t]*(-?\d+)[ \t]*\r?$")
+_KEYS = [
+    ("archive", pa.string()), ("offset", pa.int64()), ("seq", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("size", pa.int64()), ("sha1", pa.string()),
+]
+_RECORD = pa.schema([
+    *_KEYS, ("ip", pa.string()), ("mime", pa.string()), ("truncated", pa.bool_()), ("header", pa.binary()), ("payload", pa.binary()),
+])
+_KEYS_DDL = "archive string, offset long, seq long, url string, date string, size long, sha1 string"
+
+
+def _records(archive: str, content: bytes) -> Iterator[dict]:
+    """Records of an image, with payload and its SHA-1."""
+    for r in parse_arc(content or b""):
+        header, payload = http_parts(r["block"])
+        m = _SEQUENCE.search(header)
+        yield {
+            "archive": archive, "offset": r["offset"], "seq": int(m[1]) if m else None, "url": r["url"].encode("utf-8", "replace").decode(), "date": r["date"],
+            "size": len(payload), "sha1": hashlib.sha1(payload).hexdigest(), "ip": r["ip"], "mime": r["mime"], "truncated": r["truncated"], "header": header, "payload": payload,
+        }
+
+
+def _record_batches(images, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The schema's columns of the records of images (archive, content), about 8 MB a batch."""
+    held, total = [], 0
+    for batch in images:
+        for archive, content in zip(batch.column(0), batch.column(1), strict=True):
+            for r in _records(archive.as_py(), content.as_py()):
+                held.append({k: r[k] for k in schema.names})
+                total += 100 + (len(r["payload"]) + len(r["header"]) if "payload" in held[-1] else 0)
+                if total > 8 << 20:
+                    yield pa.RecordBatch.from_pylist(held, schema)
+                    held, total = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
 def arc_records(images: DataFrame) -> DataFrame:
     """Records of ARC images (archive, content), with payload and its SHA-1."""
-    schema = pa.schema([
-        ("archive", pa.string()), ("offset", pa.int64()), ("seq", pa.int64()), ("url", pa.string()), ("ip", pa.string()),
-        ("date", pa.string()), ("mime", pa.string()), ("truncated", pa.bool_()), ("header", pa.binary()),
-        ("payload", pa.binary()), ("size", pa.int64()), ("sha1", pa.string()),
-    ])
-    seq = re.compile(rb"(?im)^" + SEQUENCE.encode() + rb":[ \t]*(-?\d+)[ \t]*\r?$")
+    ddl = f"{_KEYS_DDL}, ip string, mime string, truncated boolean, header binary, payload binary"
+    return images.select("archive", "content").mapInArrow(lambda batches: _record_batches(batches, _RECORD), ddl)
 
-    def parse(batches):
-        for batch in batches:
-            for archive, content in zip(batch.column(0), batch.column(1), strict=True):
-                rows, total = [], 0
-                for r in parse_arc(content.as_py() or b""):
-                    header, payload = http_parts(r["block"])
-                    m = seq.search(header)
-                    rows.append((
-                        archive.as_py(), r["offset"], int(m[1]) if m else None, r["url"].encode("utf-8", "replace").decode(),
-                        r["ip"], r["date"], r["mime"], r["truncated"], header, payload, len(payload), hashlib.sha1(payload).hexdigest(),
-                    ))
-                    total += len(r["block"])
-                    if total > 8 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
-                        rows, total = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
-    return images.select("archive", "content").mapInArrow(
-        parse,
-        "archive string, offset long, seq long, url string, ip string, date string, mime string, truncated boolean, header binary, payload binary, size long, sha1 string",
-    )
+def record_keys(images: DataFrame) -> DataFrame:
+    """The same without contents."""
+    return images.select("archive", "content").mapInArrow(lambda batches: _record_batches(batches, pa.schema(_KEYS)), _KEYS_DDL)
 
 
 # --- conversion ------------------------------------------------------------------------
 
 
-def convert(records: DataFrame, scratch: Scratch, min_revisit: int = 1000, max_broadcast_groups: int = 100_000) -> DataFrame:
-    """records plus ``target``: what a revisit refers to, null for a record stored in full.
-
-    Only digests are grouped, with partial sums before the shuffle.  Groups of several
-    records are joined back: by broadcast while they are few, else by a shuffle join in
-    which Spark splits the partitions of hot digests.
-    """
+def revisits(keys: DataFrame, min_revisit: int = 1000) -> DataFrame:
+    """(archive, offset, target) of the records that repeat a payload: only digests and keys are grouped, with partial
+    results before the shuffle, and joined; hot digests are split by Spark."""
     me = F.struct("seq", "url", "date", "archive", "offset")
-    groups = (
-        records.where(F.col("size") >= min_revisit)
-        .groupBy("sha1", "size")
-        .agg(F.max(me).alias("target"), F.count("*").alias("n"))
-        .where("n > 1")
-        .drop("n")
-    )
-    groups = scratch.cut(groups, "groups")
-    n = groups.count()
-    if n == 0:
-        return records.withColumn("target", F.lit(None).cast(groups.schema["target"].dataType))
-    found = records.join(F.broadcast(groups) if n <= max_broadcast_groups else groups, ["sha1", "size"], "left")
-    return found.withColumn("target", F.when(F.col("target") != me, F.col("target")))
+    large = keys.where(F.col("size") >= min_revisit)
+    groups = large.groupBy("sha1", "size").agg(F.max(me).alias("target"), F.count("*").alias("n")).where("n > 1").drop("n")
+    found = large.join(groups, ["sha1", "size"])
+    return found.where(F.col("target") != me).select("archive", "offset", "target").dropDuplicates(["archive", "offset"])
+
+
+def convert(records: DataFrame, min_revisit: int = 1000) -> DataFrame:
+    """records plus ``target``: what a revisit refers to, null for a record stored in full."""
+    found = revisits(records, min_revisit)
+    return records.join(found, ["archive", "offset"], "left")
 
 
 def record_id(archive: str, offset: int, url: str) -> str:
@@ -270,31 +281,72 @@ def warc_info(part: int) -> bytes:
     return head.encode() + block
 
 
-def write_warc(records: DataFrame, path: str) -> None:
+_LINES = pa.schema([("value", pa.binary())])
+
+
+def _warc_batches(records: Iterator[dict]) -> Iterator[pa.RecordBatch]:
+    """WARC records, a warcinfo record before them, about 8 MB a batch."""
+    out, total, first = [], 0, True
+    for r in records:
+        if first:
+            out.append(warc_info(TaskContext.get().partitionId()))
+            first = False
+        out.append(warc_record(r))
+        total += len(out[-1])
+        if total > 8 << 20:
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], schema=_LINES)
+            out, total = [], 0
+    if out:
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], schema=_LINES)
+
+
+def _write_lines(lines: DataFrame, path: str) -> None:
     """One gzip WARC file per partition; a record's closing blank lines are the writer's line separator."""
-    schema = pa.schema([("value", pa.binary())])
+    lines.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+
+
+def write_warc(records: DataFrame, path: str) -> None:
+    """WARC files of converted records."""
 
     def write(batches):
-        from pyspark import TaskContext
+        yield from _warc_batches(r for batch in batches for r in _rows(batch))
 
-        first = True
-        for batch in batches:
-            out, total = [], 0
-            if first and batch.num_rows:
-                out.append(warc_info(TaskContext.get().partitionId()))
-                first = False
-            names = batch.schema.names
-            for values in zip(*batch.columns, strict=True):
-                out.append(warc_record({k: v.as_py() for k, v in zip(names, values, strict=True)}))
-                total += len(out[-1])
-                if total > 8 << 20:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], schema=schema)
-                    out, total = [], 0
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], schema=schema)
+    _write_lines(records.mapInArrow(write, "value binary"), path)
+
+
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    names = batch.schema.names
+    for values in zip(*batch.columns, strict=True):
+        yield {k: v.as_py() for k, v in zip(names, values, strict=True)}
+
+
+def write_images(images: DataFrame, path: str, scratch: Scratch, min_revisit: int = 1000) -> None:
+    """WARC files of ARC images.
+
+    Images are written in buckets of their archive and parsed twice: for the keys by which revisits are found, and to be
+    converted.  What each archive refers to, one row an archive, comes to its bucket; no payload is shuffled, however many
+    digests repeat.
+    """
+    spark = images.sparkSession
+    size = images.agg(F.sum(F.octet_length("content"))).head()[0] or 0
+    buckets = max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
+    table = scratch.bucketed(images.select("archive", "content"), "archive", buckets, deal=False)
+    found = revisits(record_keys(spark.table(table)), min_revisit)
+    of = found.groupBy("archive").agg(F.collect_list(F.struct("offset", "target")).alias("targets"))  # of one image's records
+
+    def write(batches):
+        def records():
+            for batch in batches:
+                for row in _rows(batch):
+                    targets = {t["offset"]: t["target"] for t in row["targets"] or ()}
+                    for r in _records(row["archive"], row["content"]):
+                        yield r | {"target": targets.get(r["offset"])}
+
+        yield from _warc_batches(records())
 
-    text = records.mapInArrow(write, "value binary").select(F.col("value").cast("string").alias("value"))
-    text.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
+    joined = spark.table(table).join(of, "archive", "left").select("archive", "content", "targets")
+    _write_lines(joined.mapInArrow(write, "value binary"), path)
+    scratch.drop_table(table)
 
 
 # --- reading back ------------------------------------------------------------------------
@@ -357,6 +409,6 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     scratch = Scratch(spark, "warc")
     images = scratch.cut(pages_to_arc(pages), "arc")
     path = scratch.path("warc")
-    write_warc(convert(arc_records(images), scratch), path)
+    write_images(images, path, scratch)
     scratch.drop(images)
     return read_warc(spark, path)

@@ -41,13 +41,18 @@ def test_synthesised_fields():
     assert aw.http_parts(b"HTTP/1.0 200\n\nx") == (b"HTTP/1.0 200\n\n", b"x") and aw.http_parts(b"plain") == (b"", b"plain")
 
 
-@pytest.mark.parametrize("most", [100_000, 0])
-def test_pages_round_trip(spark, tmp_path, most):
+@pytest.mark.parametrize("way", ["records", "images"])
+def test_pages_round_trip(spark, tmp_path, monkeypatch, way):
     html = [None, "", "small", "small", BIG, BIG, BIG, "y" * 1000, "y" * 1000, "z" * 999, "z" * 999, "WARC/1.1\r\n\r\n" * 200]
     pages = spark.createDataFrame([(i, f"http://h/{i} q" if i else None, t, "x") for i, t in enumerate(html)], "page_id bigint, url string, html string, payload string")
     scratch = Scratch(spark, "test")
     path = str(tmp_path / "warc")
-    aw.write_warc(aw.convert(aw.arc_records(aw.pages_to_arc(pages.repartition(3), image_bytes=2000)), scratch, max_broadcast_groups=most), path)
+    images = scratch.cut(aw.pages_to_arc(pages.repartition(3), image_bytes=2000), "images")
+    if way == "records":
+        aw.write_warc(aw.convert(aw.arc_records(images)), path)
+    else:
+        monkeypatch.setattr(aw, "BUCKET_BYTES", 500)
+        aw.write_images(images, path, scratch)
     got = {r["seq"]: r for r in aw.read_warc(spark, path).collect()}
     import hashlib
 
@@ -163,3 +168,21 @@ def test_set_of_windows_takes_little():
         h = dc.window_hashes(dc.word_hashes(w), k)[-1]
         assert tests.items_of(k, h, b" ".join(w[-k:])) == {f"item-{i}", f"copy-{i}"}
         assert tests.items_of(k, h, b" ".join([*w[-k:-1], w[-1] + b"x"])) is None and tests.items_of(k, h, b" ".join(w[-k:])[:-1]) is None
+
+
+def test_no_payload_is_shuffled(spark):
+    """Images stay in their buckets while what they refer to is joined."""
+    from pyspark.sql import functions as F
+
+    scratch = Scratch(spark, "test")
+    images = scratch.cut(aw.pages_to_arc(spark.range(200).selectExpr("id AS page_id", "'u' AS url", "repeat('x', 2000 + id % 3) AS html"), image_bytes=20_000), "images")
+    table = scratch.bucketed(images, "archive", 4, deal=False)
+    of = aw.revisits(aw.record_keys(spark.table(table))).groupBy("archive").agg(F.collect_list("offset").alias("targets"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = spark.table(table).join(of, "archive", "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    left = plan[plan.index("Join") :].split(":- ", 1)[1].split("+- Sort", 2)[0]
+    assert "Exchange" not in left.split("+- *", 1)[0] and "Bucketed: true" in plan
+    scratch.drop_table(table)
