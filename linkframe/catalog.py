@@ -1013,6 +1013,31 @@ def _(spark, d):
     return reduce(DataFrame.union, rows)
 
 
+@query("p14_graph_names", """WITH n AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN '-' || p_partkey WHEN 2 THEN 'graph_' || p_partkey || '-v1.0' ELSE p_brand END AS name FROM part)
+SELECT name, name <> '' AND translate(name, 'ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._-', '') = '' AND NOT contains('._-', left(name, 1)) AS valid, count(*) AS n FROM n GROUP BY ALL""")
+def _(spark, d):
+    k = F.col("p_partkey")
+    made = F.when(k % 4 == 0, F.col("p_name")).when(k % 4 == 1, F.concat(F.lit("-"), k)).when(k % 4 == 2, F.concat(F.lit("graph_"), k, F.lit("-v1.0"))).otherwise(F.col("p_brand"))
+    return table(spark, d, "part").select(made.alias("name")).groupBy("name", names.is_graph_name(F.col("name")).alias("valid")).agg(F.count("*").alias("n"))
+
+
+@query("r12_exit_codes", """SELECT * FROM (VALUES ('fold', 0), ('no such level', 1), ('no known name', 1), ('values that sum to 1', 0), ('values that do not', 2), ('no such file', 1)) AS t("case", code)
+WHERE (SELECT count(*) FROM part) > 0""")
+def _(spark, d):
+    (v, e), wanted, odd = _graph_files(spark, d), _file(spark, "names"), _file(spark, "odd")
+    some = graph_p(spark, d).vertices.where("id % 5 = 1")
+    text.write_strings(some.select(F.col("name").alias("value")), wanted)
+    text.write_strings(some.select(F.concat(F.lit("no."), "name").alias("value")), odd)
+    n = some.count()
+    out = lambda: _file(spark, "out")
+    runs = {
+        "fold": ["fold", v, e, out(), out()], "no such level": ["fold", "--aggregation-level", "planet", v, e, out(), out()], "no known name": ["preference", v, odd, out()],
+        "values that sum to 1": ["preference", "--value", str(1 / n), v, wanted, out()], "values that do not": ["preference", "--value", str(2 / n), v, wanted, out()],
+        "no such file": ["preference", v + ".none", wanted, out()],
+    }
+    return spark.createDataFrame([(k, main(a, spark)) for k, a in runs.items()], "case string, code int")
+
+
 @query("r7_preference_command", f"WITH {SQL_P}, k AS (SELECT count(*) AS n FROM pv WHERE id % 5 = 1) SELECT id, CASE WHEN id % 5 = 1 THEN 1.0 / n ELSE 0 END AS pref FROM pv, k")
 def _(spark, d):
     (v, _), wanted, out = _graph_files(spark, d), _file(spark, "names"), _file(spark, "pref")

@@ -51,6 +51,15 @@ def normalize_host(host: Column) -> Column:
     return F.lower(F.regexp_replace(F.trim(host), r"^\.+|\.+$", ""))
 
 
+#: Letters, digits, dots, hyphens and underscores, no leading mark.
+GRAPH_NAME = "[A-Za-z0-9][A-Za-z0-9._-]*"
+
+
+def is_graph_name(name: Column) -> Column:
+    """Whether a graph may be called so."""
+    return F.coalesce(name.rlike(f"^{GRAPH_NAME}\\z"), F.lit(False))
+
+
 def _to_ascii(hosts):
     """``xn--`` forms of a pandas series; null where there is none."""
 

@@ -290,3 +290,6 @@ def test_preference_cli(spark, tmp_path):
     args = [str(tmp_path / x) for x in ("v", "n", "p")]
     assert main(["preference", "--binary", *args], spark) == 0
     assert list(np.fromfile(tmp_path / "p", ">f8")) == [0.5, 0, 0.5]
+    args[2] += "2"
+    assert main(["preference", "--value", "0.4", *args], spark) == 2 and not (tmp_path / "p2").exists()
+    assert main(["preference", "--value", "0.5", *args], spark) == 0 and spark.read.parquet(args[2]).count() == 3
