@@ -931,7 +931,9 @@ SELECT batch, least(64, n - 64 * batch) AS paths, n AS all_paths FROM b""")
 def _(spark, d):
     pages = table(spark, d, "pages")
     lists = [pages.select(F.concat("url", F.lit(f"#{k}-"), "page_id").alias("path")) for k in (1, 2)]
-    jobs = hostlinks.input_batches(hostlinks.union_inputs(*lists), most=64)
+    folder = _file(spark, "jobs")
+    hostlinks.write_input_jobs(hostlinks.union_inputs(*lists), folder, most=64)
+    jobs = hostlinks.read_input_jobs(spark, folder)
     sizes = jobs.groupBy("batch").agg(F.count("*").alias("paths"))
     return sizes.join(jobs.agg(F.count_distinct("path").alias("all_paths")).withColumn("k", F.lit(0)), F.col("k") == 0).drop("k")
 

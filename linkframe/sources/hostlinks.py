@@ -67,6 +67,18 @@ def input_batches(paths: DataFrame, most: int = 64_000, seed: int = 1, path_col:
     return dealt.withColumn("batch", F.floor(F.col("__lf_place") / most)).drop("__lf_place")
 
 
+def write_input_jobs(paths: DataFrame, folder: str, most: int = 64_000, seed: int = 1, path_col: str = "path") -> None:
+    """One folder a job, folder/batch=k, with its paths in random order: what a job reads as its input list."""
+    jobs = input_batches(paths, most, seed, path_col).select(F.col(path_col).alias("value"), "batch")
+    dealt = jobs.repartition("batch").sortWithinPartitions("batch", F.xxhash64(F.lit(seed), "value"))
+    dealt.write.partitionBy("batch").text(folder)
+
+
+def read_input_jobs(spark: SparkSession, folder: str) -> DataFrame:
+    """(batch, path) of all jobs."""
+    return spark.read.text(folder).select(F.col("batch").cast("long").alias("batch"), F.col("value").alias("path"))
+
+
 def union_inputs(*lists: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, lists)
 

@@ -284,12 +284,23 @@ def test_crawls(spark, tmp_path, rows):
     assert again.tidy() > 0 and rows(again.links()) == rows(link(range(60)))
 
 
-def test_preference_cli(spark, tmp_path):
+def test_input_jobs(spark, tmp_path):
+    paths = spark.range(1000).selectExpr("concat('s3://b/', id) AS path")
+    hostlinks.write_input_jobs(paths, str(tmp_path / "jobs"), most=300)
+    sizes = [r["count"] for r in hostlinks.read_input_jobs(spark, str(tmp_path / "jobs")).groupBy("batch").count().orderBy("batch").collect()]
+    assert sizes == [300, 300, 300, 100]
+    first = [r[0] for r in spark.read.text(str(tmp_path / "jobs/batch=0")).collect()]
+    assert len(set(first)) == 300 and first != sorted(first)
+
+
+def test_preference_cli(spark, tmp_path, capfdbinary):
     (tmp_path / "v").write_text("0\tcom.a\n1\tcom.b\n2\torg.b\n")
     (tmp_path / "n").write_text("org.b\ncom.a\n")
     args = [str(tmp_path / x) for x in ("v", "n", "p")]
     assert main(["preference", "--binary", *args], spark) == 0
     assert list(np.fromfile(tmp_path / "p", ">f8")) == [0.5, 0, 0.5]
+    assert main(["preference", *args[:2], "-"], spark) == 0
+    assert list(np.frombuffer(capfdbinary.readouterr().out, ">f8")) == [0.5, 0, 0.5]
     args[2] += "2"
     assert main(["preference", "--value", "0.4", *args], spark) == 2 and not (tmp_path / "p2").exists()
     assert main(["preference", "--value", "0.5", *args], spark) == 0 and spark.read.parquet(args[2]).count() == 3
