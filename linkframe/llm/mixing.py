@@ -18,6 +18,7 @@ join with one row a leaf and are not shuffled.
 Defined cases
 -------------
 * null domain, language or source: the child named ""; ``source_domain`` puts null into "other".
+* very long texts count whole: their tokens are counted in one pass, and a document is taken or left as a whole.
 * null text: no tokens; documents without tokens are taken with the prefix they stand in.
 * null ids hash like an empty id; repeated rows are rows of their own, at the same place of
   the order: such ties are taken or left together at the end of a prefix.

@@ -431,3 +431,22 @@ def test_quality(spark, labelled):
     assert right >= 0.97 * sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(900))
     assert all(0 <= p <= 1 for p in got.values())
     assert (quality.word_vectors(docs.repartition(7)) == vectors).all()
+
+
+def test_license_scan_with_clashing_columns(spark, rows):
+    text = "text before it. " + next(iter(license_scan.TEMPLATES.values())) + " and text after it"
+    plain = spark.createDataFrame([(1, text), (2, "nothing here"), (None, text), (3, None), (4, "")], "doc_id long, text string")
+    odd = plain.withColumns({c: F.lit("x") for c in ("license", "containment", "words", "shingle", "i", "w", "n")})
+    got = rows(license_scan.scan(odd))
+    assert got == rows(license_scan.scan(plain)) and {r[0] for r in got} == {1, None}
+
+
+def test_long_texts_of_the_toxicity_model():
+    """A text of over a block of characters restores like its pieces."""
+    model = toxicity.CharModel(toxicity.triple_counts(["you are a stupid moron and a fool in the green valley"] * 50))
+    part = "you are a stup1d m0r0n in the gr33n valley and f-o-o-l "
+    long = part * (1_200_000 // len(part))
+    assert len(long) > toxicity.BLOCK
+    restorer = toxicity.Restorer(model)
+    one, many = restorer.counts(part), restorer.counts(long)
+    assert many == {w: n * (len(long) // len(part)) for w, n in one.items()} and many["stupid"] and many["moron"]
