@@ -938,6 +938,17 @@ def _(spark, d):
     return sizes.join(jobs.agg(F.count_distinct("path").alias("all_paths")).withColumn("k", F.lit(0)), F.col("k") == 0).drop("k")
 
 
+@query("s15_links_of_many_inputs", f"WITH {SQL_H} SELECT src_host, dst_host, count(*) AS n FROM hl GROUP BY ALL")
+def _(spark, d):
+    """Links in several inputs, listed, dealt to jobs of two files at most, and read job by job."""
+    folder = _file(spark, "inputs")
+    page_links(spark, d).repartition(5).write.parquet(folder)
+    jobs = hostlinks.input_batches(hostlinks.list_inputs(spark, folder), most=2)
+    of = jobs.groupBy("batch").agg(F.collect_list("path").alias("paths")).orderBy("batch").collect()  # the input list of each job
+    links = [hostlinks.read_links(spark, *r["paths"]) for r in of]
+    return hostlinks.union_inputs(*links).groupBy("src_host", "dst_host").agg(F.count("*").alias("n"))
+
+
 @query("s15_r1_incremental_crawls", f"WITH {SQL_H} SELECT DISTINCT src_host, dst_host, 3 AS crawls FROM hl")
 def _(spark, d):
     """Three crawls, of which one is added twice, one was interrupted before, and one brings nothing new."""

@@ -40,6 +40,12 @@ def sitemap_links(robots: DataFrame, url_col: str = "url", text_col: str = "text
     return rows.select(F.col("host").alias("src_host"), link_host(F.col("link"), F.col("host")).alias("dst_host")).where("dst_host IS NOT NULL")
 
 
+def list_inputs(spark: SparkSession, *folders: str, glob: str = "part-*") -> DataFrame:
+    """(path, length) of the files in folders; their contents aren't read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(list(folders))
+    return files.select("path", "length")
+
+
 def read_links(spark: SparkSession, *paths: str) -> DataFrame:
     """Host links of any number of Parquet inputs."""
     return spark.read.schema(schemas.HOST_LINKS).parquet(*paths)
