@@ -3,8 +3,8 @@
 Links lie in buckets by a hash of both hosts.  A crawl is added in two steps: buckets that get new links are written
 anew, with what they held, to folders of a new generation; then a manifest of that generation appears by one
 rename.  It names the folder of every bucket and the crawls that are in.  So a crawl that was added already
-changes nothing, an interrupted one leaves the last generation as it was, and buckets without new links are neither
-read beyond the comparison nor written.
+changes nothing, an interrupted one leaves the last generation as it was, buckets that a crawl has no links of are not
+read, and those it has no new links of are not written.
 
 Any number of readers may hold an older generation; ``tidy`` deletes folders that the newest doesn't name.
 Additions to one folder must not overlap.
@@ -82,9 +82,11 @@ class LinkStore:
             return None
         scratch = Scratch(self.spark, "crawl")
         bucket = F.pmod(F.xxhash64("src_host", "dst_host"), F.lit(m["buckets"])).cast("int")
-        new = links.select("src_host", "dst_host").distinct().withColumn("bucket", bucket)
-        held = self._read(list(m["folders"].values()))
-        new = scratch.cut(new.join(held.select("src_host", "dst_host"), ["src_host", "dst_host"], "left_anti"), "new")
+        all_ = scratch.cut(links.select("src_host", "dst_host").distinct().withColumn("bucket", bucket), "links")
+        present = [r["bucket"] for r in all_.select("bucket").distinct().collect()]  # at most the number of buckets
+        held = self._read([m["folders"][str(b)] for b in present if str(b) in m["folders"]])
+        new = scratch.cut(all_.join(held, ["bucket", "src_host", "dst_host"], "left_anti").select(*all_.columns), "new")
+        scratch.drop(all_)
         touched = [r["bucket"] for r in new.select("bucket").distinct().collect()]  # at most the number of buckets
         generation = m["generation"] + 1
         folders = dict(m["folders"])
