@@ -121,6 +121,10 @@ class Scratch:
         out = self.cut(df.observe(seen, *(c.alias(k) for k, c in figures.items())), name)
         return out, seen.get
 
+    def buckets(self, size: int, each: int) -> int:
+        """Buckets for a size: at least as many as shuffle partitions, below which Spark would shuffle both sides of a join."""
+        return max(self.spark.sparkContext.defaultParallelism, int(self.spark.conf.get("spark.sql.shuffle.partitions")), -(-size // each))
+
     def bucketed(self, df: DataFrame, key: str, buckets: int, parts: list[str] | None = None, deal: bool = True) -> str:
         """The name of a table of df in buckets of ``key``, one file a bucket: joins by the key shuffle only the other
         side.  ``drop_table`` removes it.  Without ``deal`` rows are not shuffled, and each task writes a file a bucket

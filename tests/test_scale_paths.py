@@ -89,13 +89,15 @@ def test_long_ring_settles_early(spark):
 def test_pagerank_shuffles_no_edges(spark):
     scratch = Scratch(spark, "t")
     links = spark.range(1000).selectExpr("id AS src", "id * 7 % 1000 AS dst", "1L AS deg")
-    table = scratch.bucketed(links, "src", 4)
+    spark.conf.set("spark.sql.shuffle.partitions", "7")
+    table = scratch.bucketed(links, "src", scratch.buckets(1000, 1000))
     ranks = scratch.cut(spark.range(1000).selectExpr("id", "0.001D AS x"), "ranks")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         text_ = plan(rank.inflow(spark.table(table), ranks))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     below_join = text_[text_.index("Join") :]
     scan = next(x for x in below_join.splitlines() if "deg#" in x and "FileScan" in x)
     assert "Bucketed: true" in scan
