@@ -320,17 +320,16 @@ def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
         yield {k: v.as_py() for k, v in zip(names, values, strict=True)}
 
 
-def write_images(images: DataFrame, path: str, scratch: Scratch, min_revisit: int = 1000) -> None:
-    """WARC files of ARC images.
+def write_images(images: DataFrame, path: str, scratch: Scratch, min_revisit: int = 1000, size: int | None = None) -> None:
+    """WARC files of ARC images, of ``size`` bytes (else they are added up).
 
-    Images are written in buckets of their archive and parsed twice: for the keys by which revisits are found, and to be
-    converted.  What each archive refers to, one row an archive, comes to its bucket; no payload is shuffled, however many
-    digests repeat.
+    Images are written once, in buckets of their archive, and parsed twice: for the keys by which revisits are found, and
+    to be converted.  What each archive refers to, one row an archive, comes to its bucket; no payload is shuffled, however
+    many digests repeat.
     """
     spark = images.sparkSession
-    size = images.agg(F.sum(F.octet_length("content"))).head()[0] or 0
-    buckets = max(spark.sparkContext.defaultParallelism, -(-size // BUCKET_BYTES))
-    table = scratch.bucketed(images.select("archive", "content"), "archive", buckets, deal=False)
+    size = images.agg(F.sum(F.octet_length("content"))).head()[0] if size is None else size
+    table = scratch.bucketed(images.select("archive", "content"), "archive", scratch.buckets(size or 0, BUCKET_BYTES), deal=False)
     found = revisits(record_keys(spark.table(table)), min_revisit)
     of = found.groupBy("archive").agg(F.collect_list(F.struct("offset", "target")).alias("targets"))  # of one image's records
 
@@ -407,8 +406,7 @@ def archive_pages(pages: DataFrame) -> DataFrame:
     """pages -> ARC images -> WARC files in the shared folder -> one row per record read back."""
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")
-    images = scratch.cut(pages_to_arc(pages), "arc")
     path = scratch.path("warc")
-    write_images(images, path, scratch)
-    scratch.drop(images)
+    size = pages.agg(F.sum(F.octet_length("html"))).head()[0] or 0
+    write_images(pages_to_arc(pages), path, scratch, size=size)
     return read_warc(spark, path)

@@ -176,13 +176,15 @@ def test_no_payload_is_shuffled(spark):
 
     scratch = Scratch(spark, "test")
     images = scratch.cut(aw.pages_to_arc(spark.range(200).selectExpr("id AS page_id", "'u' AS url", "repeat('x', 2000 + id % 3) AS html"), image_bytes=20_000), "images")
-    table = scratch.bucketed(images, "archive", 4, deal=False)
+    spark.conf.set("spark.sql.shuffle.partitions", "6")
+    table = scratch.bucketed(images, "archive", scratch.buckets(1, 1), deal=False)
     of = aw.revisits(aw.record_keys(spark.table(table))).groupBy("archive").agg(F.collect_list("offset").alias("targets"))
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         plan = spark.table(table).join(of, "archive", "left")._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
     left = plan[plan.index("Join") :].split(":- ", 1)[1].split("+- Sort", 2)[0]
     assert "Exchange" not in left.split("+- *", 1)[0] and "Bucketed: true" in plan
     scratch.drop_table(table)
