@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from linkframe.functions.names import top_level_domain
 from linkframe.operators.stats import frequencies
-from linkframe.plans.lineage import Scratch
+from linkframe.plans.lineage import Scratch, partitions
 
 
 #: Intervals of ids that top-level domains are looked up by.
@@ -50,7 +50,13 @@ class Graph:
         return Graph(self.vertices, self.edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
 
     def symmetric(self) -> Graph:
-        return Graph(self.vertices, self.edges.union(self.transposed().edges).distinct())
+        """Each pair of ends is made distinct once, whatever its direction, in partitions that grow with the edges."""
+        a, b = F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")
+        e, seen = Scratch(self.spark, "symmetric").measured(self.edges.select(a, b), "edges", n=F.count("*"))
+        pairs = e.repartition(partitions(self.spark, seen["n"]), "a", "b").distinct()
+        arc = lambda s, d: F.struct(F.col(s).alias("src"), F.col(d).alias("dst"))
+        both = F.when(F.col("a") == F.col("b"), F.array(arc("a", "b"))).otherwise(F.array(arc("a", "b"), arc("b", "a")))
+        return Graph(self.vertices, pairs.select(F.explode(both).alias("x")).select("x.*"))
 
     # --- names and ids -----------------------------------------------------------------
 
